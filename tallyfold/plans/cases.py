@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold import schemas
 from tallyfold.operators.incremental import full_load, load_batch
 from tallyfold.sinks.files import read_version, write_version
 
-DAILY_SCHEMA = schemas.StructType.fromDDL(schemas.CASES_DAILY.simpleString()[7:-1].replace(":", " ") + ", batch bigint")
+DAILY_SCHEMA = T.StructType([*schemas.CASES_DAILY, T.StructField("batch", T.LongType())])
 
 
 def _write_daily(daily: DataFrame, path: str, batch: int) -> None:

@@ -20,7 +20,7 @@ from tallyfold.sinks.files import write_partitioned
 from tallyfold.sources.files import read_parquet, read_weather
 
 FACT_PARTITIONS = ("measured", "month")
-FACT_SCHEMA = schemas.StructType.fromDDL(
+FACT_SCHEMA = schemas.columns(
     "station_id string, date string, value int, measured string, month string"
 )
 
@@ -97,22 +97,24 @@ def apply_deltas_to_path(
     columns = ["measured", "station_id", "date", "value", "month"]
     parts = {name: with_month(rows).select(*columns) for name, rows in deltas.items()}
     keys = parts["delete"].unionByName(parts["insert"]).unionByName(parts["update"])
+    # Partition names, not data: they prune the scan to the directories the deltas touch.
     touched = keys.select(*FACT_PARTITIONS).distinct()
-    fact = read_fact(spark, path).select(*columns)
-    affected = fact.join(touched, list(FACT_PARTITIONS), "left_semi")
+    names = [(row.measured, row.month) for row in touched.collect()]
+    affected = (
+        read_fact(spark, path)
+        .where(F.col("measured").isin({m for m, _ in names}) & F.col("month").isin({m for _, m in names}))
+        .join(touched, list(FACT_PARTITIONS), "left_semi")
+        .select(*columns)
+    )
     staged_path = scratch_path(spark, "delta")
     result = apply_delta(affected, parts["delete"], parts["insert"], parts["update"], order, (*KEYS, "month"))
     write_partitioned(result, staged_path, FACT_PARTITIONS)
     staged = spark.read.schema(FACT_SCHEMA).parquet(staged_path)
-    emptied = (
-        affected.select(*FACT_PARTITIONS)
-        .distinct()
-        .join(staged.select(*FACT_PARTITIONS).distinct(), list(FACT_PARTITIONS), "left_anti")
-        .collect()
-    )
+    written = {(row.measured, row.month) for row in staged.select(*FACT_PARTITIONS).distinct().collect()}
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FACT_PARTITIONS).parquet(path)
-    # Directory names only: a partition without rows is not written, hence not replaced.
+    # A partition left without rows is not written, hence not replaced: drop its directory.
     jvm = spark.sparkContext._jvm
-    for row in emptied:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/measured={row.measured}/month={row.month}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    for measured, month in names:
+        if (measured, month) not in written:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/measured={measured}/month={month}")
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -11,7 +11,7 @@ from tallyfold.plans.cases import next_batch
 from tallyfold.plans.weather import apply_deltas_to_path, clean_deltas
 from tallyfold.sources.files import DELTA_OPERATIONS
 
-DELTA_STREAM_SCHEMA = schemas.StructType.fromDDL(
+DELTA_STREAM_SCHEMA = schemas.columns(
     "station_id string, date string, measured string, value string, measurement_flag string, "
     "quality_flag string, source_flag string, hour string, seq int, op string"
 )
