@@ -9,18 +9,16 @@ from tallyfold.fixed_values import EARTH_RADIUS_KM
 from tallyfold.functions.columns import ColumnOrName, as_column
 
 
-def haversine_term(lat1: ColumnOrName, lon1: ColumnOrName, lat2: ColumnOrName, lon2: ColumnOrName) -> Column:
-    """Squared half chord between two points of the unit sphere."""
-    phi1, phi2 = F.radians(as_column(lat1)), F.radians(as_column(lat2))
-    half_dlat = (phi1 - phi2) / 2
-    half_dlon = F.radians(as_column(lon1) - as_column(lon2)) / 2
-    return F.pow(F.sin(half_dlat), 2) + F.cos(phi1) * F.cos(phi2) * F.pow(F.sin(half_dlon), 2)
+def half_angle(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Half the central angle between two points in radians; the unit in which cut-offs are given.
 
-
-def half_angle(lat1: ColumnOrName, lon1: ColumnOrName, lat2: ColumnOrName, lon2: ColumnOrName) -> Column:
-    """Half the central angle in radians; the unit in which the cut-offs are given."""
-    a = F.least(haversine_term(lat1, lon1, lat2, lon2), F.lit(1.0))
-    return F.atan2(F.sqrt(a), F.sqrt(1 - a))
+    Takes column names. Rounding may lift the haversine term above 1 for opposite points.
+    """
+    term = (
+        f"least(pow(sin((radians({lat1}) - radians({lat2})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
+        f" * pow(sin(radians({lon1} - {lon2}) / 2), 2), 1D)"
+    )
+    return F.expr(f"atan2(sqrt({term}), sqrt(1 - {term}))")
 
 
 def distance_in_cutoff_unit(angle: ColumnOrName) -> Column:
@@ -30,8 +28,3 @@ def distance_in_cutoff_unit(angle: ColumnOrName) -> Column:
 def distance_km(angle: ColumnOrName) -> Column:
     """True great-circle distance of a half angle."""
     return as_column(angle) * (2 * EARTH_RADIUS_KM)
-
-
-def unit_vector(latitude: ColumnOrName, longitude: ColumnOrName) -> tuple[Column, Column, Column]:
-    phi, lam = F.radians(as_column(latitude)), F.radians(as_column(longitude))
-    return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)

@@ -10,61 +10,58 @@ compared station by station, and the answer equals that of all pairs.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.fixed_values import EARTH_RADIUS_KM, MAX_DISTANCE
 from tallyfold.functions.columns import both_present
-from tallyfold.functions.geo import distance_in_cutoff_unit, distance_km, half_angle, unit_vector
+from tallyfold.functions.geo import distance_in_cutoff_unit, distance_km, half_angle
 from tallyfold.operators.latest import leading_rows
 
 _AXES = ("x", "y", "z")
 _FAN = 4  # edge ratio of two levels: a power of two, so that cubes nest exactly
 _SLACK = 1e-12  # on squared chords, above rounding and above the tie tolerance
+_BITS = 21  # of a cube number, per axis
 TIE_DIGITS = 12  # half angles equal to this many digits are ties
 
+# The expressions below are SQL text: one call each, where columns would take dozens.
+
 
 def _vectors(df: DataFrame, edge: float) -> DataFrame:
-    """Add x, y, z and the same in units of the coarsest cube's edge."""
-    vector = unit_vector("latitude", "longitude")
-    df = df.select("*", *[v.alias(a) for v, a in zip(vector, _AXES)])
-    return df.select("*", *[(F.col(a) / edge).alias(f"q{a}") for a in _AXES])
+    """Add the unit vector x, y, z and the same in units of the coarsest cube's edge."""
+    vector = df.selectExpr(
+        "*",
+        "cos(radians(latitude)) * cos(radians(longitude)) AS x",
+        "cos(radians(latitude)) * sin(radians(longitude)) AS y",
+        "sin(radians(latitude)) AS z",
+    )
+    return vector.selectExpr("*", *[f"{a} / {edge!r}D AS q{a}" for a in _AXES])
 
 
-def _cube(level: int) -> Column:
-    """Number of the cube at a level; 21 bits per axis."""
-    parts = [F.floor(F.col(f"q{a}") * float(_FAN**level)).cast("long") + (1 << 20) for a in _AXES]
-    return parts[0] * (1 << 42) + parts[1] * (1 << 21) + parts[2]
+def _cube(level: int) -> str:
+    """Number of the cube at a level."""
+    x, y, z = (f"(floor(q{a} * {_FAN**level}) + {1 << (_BITS - 1)})" for a in _AXES)
+    return f"({x} * {1 << (2 * _BITS)} + {y} * {1 << _BITS} + {z})"
 
 
 def _boxes(coordinates: DataFrame, level: int) -> DataFrame:
     """Bounding box of the station coordinates in every cube of a level, with its parent cube."""
-    bounds = [f(a).alias(f"{n}_{a}") for a in _AXES for f, n in ((F.min, "low"), (F.max, "high"))]
-    rows = coordinates.withColumn("cube", _cube(level))
-    rows = rows.withColumn("parent", _cube(level - 1) if level else F.col("cube"))
+    bounds = [F.expr(f"{side[:3]}({a}) AS {side}_{a}") for a in _AXES for side in ("min", "max")]
+    parent = _cube(level - 1) if level else _cube(0)
+    rows = coordinates.selectExpr("measured", *_AXES, f"{parent} AS parent", f"{_cube(level)} AS cube")
     return rows.groupBy("measured", "parent", "cube").agg(*bounds)
 
 
 def _keep_promising(candidates: DataFrame, limit: float) -> DataFrame:
     """Drop boxes that cannot hold the nearest coordinate."""
-    zero = F.lit(0.0)
-
-    def axis_near(a: str) -> Column:
-        return F.pow(F.greatest(F.col(f"low_{a}") - F.col(a), F.col(a) - F.col(f"high_{a}"), zero), 2)
-
-    def axis_far(a: str) -> Column:
-        return F.pow(F.greatest(F.abs(F.col(a) - F.col(f"low_{a}")), F.abs(F.col(a) - F.col(f"high_{a}"))), 2)
-
-    near = reduce(Column.__add__, [axis_near(a) for a in _AXES])
-    far = reduce(Column.__add__, [axis_far(a) for a in _AXES])
-    best = Window.partitionBy("latitude", "longitude", "measured")
+    near = " + ".join(f"pow(greatest(min_{a} - {a}, {a} - max_{a}, 0D), 2)" for a in _AXES)
+    far = " + ".join(f"pow(greatest(abs({a} - min_{a}), abs({a} - max_{a})), 2)" for a in _AXES)
     return (
-        candidates.withColumn("_near", near)
-        .where(F.col("_near") <= limit)
-        .withColumn("_best", F.min(far).over(best))
-        .where(F.col("_near") <= F.col("_best") + _SLACK)
+        candidates.selectExpr("latitude", "longitude", *_AXES, "measured", "cube", f"{near} AS near", f"{far} AS far")
+        .where(f"near <= {limit!r}D")
+        .selectExpr("*", "min(far) OVER (PARTITION BY latitude, longitude, measured) AS best")
+        .where(f"near <= best + {_SLACK!r}D")
         .select("latitude", "longitude", *_AXES, "measured", "cube")
     )
 
@@ -95,21 +92,21 @@ def nearest_per_element(
     coordinates = _vectors(placed.select("measured", "latitude", "longitude").distinct(), edge)
 
     steps = (-1, 0, 1)
-    around = [
-        _cube(0) + (dx * (1 << 42) + dy * (1 << 21) + dz) for dx in steps for dy in steps for dz in steps
-    ]
-    starts = points.select("latitude", "longitude", *_AXES, F.explode(F.array(*around)).alias("cube"))
-    candidates = _keep_promising(starts.join(_boxes(coordinates, 0).drop("parent"), "cube"), limit)
+    shifts = [dx * (1 << (2 * _BITS)) + dy * (1 << _BITS) + dz for dx in steps for dy in steps for dz in steps]
+    around = ", ".join(f"cube0 + {shift}" for shift in shifts)
+    starts = points.selectExpr("latitude", "longitude", *_AXES, f"{_cube(0)} AS cube0").selectExpr(
+        "latitude", "longitude", *_AXES, f"explode(array({around})) AS cube"
+    )
+    candidates = _keep_promising(starts.join(_boxes(coordinates, 0), "cube"), limit)
     for level in range(1, depth):
-        boxes = _boxes(coordinates, level)
-        down = candidates.withColumnRenamed("cube", "parent").join(boxes, ["measured", "parent"])
+        down = candidates.withColumnRenamed("cube", "parent").join(_boxes(coordinates, level), ["measured", "parent"])
         candidates = _keep_promising(down, limit)
 
     leaves = coordinates.select(
         "measured",
         F.col("latitude").alias("station_latitude"),
         F.col("longitude").alias("station_longitude"),
-        _cube(depth - 1).alias("cube"),
+        F.expr(_cube(depth - 1)).alias("cube"),
     )
     angle = half_angle("latitude", "longitude", "station_latitude", "station_longitude")
     pairs = candidates.drop(*_AXES).join(leaves, ["measured", "cube"]).withColumn("angle", angle)

@@ -35,21 +35,21 @@ def with_value_block(df: DataFrame, column: str, blocks: int | None = None) -> D
     """
     blocks = blocks or block_count(df)
     wanted = 16 * blocks
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    scaled = (F.xxhash64(*df.columns).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
-    sample = df.crossJoin(F.broadcast(total)).where(scaled * F.col("_n") < wanted)
-    ordered = sample.agg(F.array_sort(F.collect_list(column)).alias("_sample"))
-    bounds = ordered.select(
-        F.expr(
-            f"transform(sequence(1, {blocks - 1}), i -> get(_sample, cast(floor(i * size(_sample) / {blocks}) as int)))"
-        ).alias("_bounds")
+    total = df.agg(F.expr("count(1) AS _n"))
+    hashed = f"xxhash64({', '.join(df.columns)})"
+    sample = df.crossJoin(F.broadcast(total)).where(
+        f"(double({hashed}) + {2.0**63!r}D) / {2.0**64!r}D * _n < {wanted}"
+    )
+    bounds = sample.agg(F.expr(f"array_sort(collect_list({column})) AS _sample")).selectExpr(
+        f"transform(sequence(1, {blocks - 1}), i -> get(_sample, int(floor(i * size(_sample) / {blocks})))) AS _bounds"
     )
     # Binary search: the count of bounds below the value, one power of two at a time.
-    out = df.crossJoin(F.broadcast(bounds)).withColumn(_BLOCK, F.lit(0))
+    out = df.crossJoin(F.broadcast(bounds)).selectExpr("*", f"0 AS {_BLOCK}")
+    others = [*df.columns, "_bounds"]
     step = blocks // 2
     while step:
-        below = F.get(F.col("_bounds"), F.col(_BLOCK) + (step - 1)) < F.col(column)
-        out = out.withColumn(_BLOCK, F.col(_BLOCK) + F.when(below, step).otherwise(0))
+        below = f"get(_bounds, {_BLOCK} + {step - 1}) < {column}"
+        out = out.selectExpr(*others, f"{_BLOCK} + IF({below}, {step}, 0) AS {_BLOCK}")
         step //= 2
     return out.drop("_bounds")
 

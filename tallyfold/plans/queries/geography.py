@@ -10,6 +10,7 @@ from tallyfold.functions import geo
 from tallyfold.operators import joins, latest, locations, nearest, quality, report
 from tallyfold.plans.registry import query
 from tallyfold.plans.standins import sites, stations, table, with_sql
+from tallyfold.session import staged
 
 _ANGLE = """atan2(sqrt({a}), sqrt(1 - {a}))"""
 _TERM = """least(pow(sin((radians({p}.latitude) - radians({q}.latitude)) / 2), 2)
@@ -226,10 +227,11 @@ _NEAR = (_PAIRS, _ANGLES, _NEAREST, _ENRICHED)
 
 
 def _enriched(spark, sf):
+    """The published mapping with names: the reports below read it more than once."""
     name = F.concat(F.lit("NATION_"), F.col("nation").cast("string")).alias("state")
     places = sites(spark, sf).select("location_id", F.lit(None).cast("string").alias("fips"), "county", name)
     ends = stations(spark, sf).select("station_id", "station_name", name)
-    return nearest.enrich_mapping(_mapping(spark, sf), places, ends)
+    return staged(nearest.enrich_mapping(_mapping(spark, sf), places, ends), "mapping")
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyfold import schemas
 from tallyfold.fixed_values import UNKNOWN_ELEVATION
 from tallyfold.functions import columns as fx
-from tallyfold.operators import star
+from tallyfold.operators import locations, star
 from tallyfold.plans import cases as case_jobs
 from tallyfold.plans import weather as weather_jobs
 from tallyfold.plans.queries.cases import _DAILY, _KNOWN, LOADED_TO, PLACE
@@ -371,3 +371,115 @@ def stream_cases(spark, sf):
     stream.awaitTermination()
     named = case_jobs.read_daily(spark, daily).join(locations, "location_id")
     return named.select(*PLACE, iso_day(), "daily_cases", "daily_deaths")
+
+
+@query(
+    "a12_lookup_csv",
+    "A12 D11 C15",
+    """SELECT n_name, CASE n_name WHEN 'NATION_3' THEN 'Washington' ELSE n_name END AS state, (n_nationkey * 617 % 17000 - 8500) / 100.0 AS latitude
+FROM nation""",
+)
+def a12_lookup_csv(spark, sf):
+    """State coordinates read back from CSV, one state renamed, joined to the states by name."""
+    key = F.col("n_nationkey")
+    listed = table(spark, sf, "nation").select(
+        F.when(F.col("n_name") == "NATION_3", "Washington State").otherwise(F.col("n_name")).alias("state"),
+        ((key * 617 % 17000 - 8500) / 100.0).alias("latitude"),
+        F.lit(0.0).alias("longitude"),
+    )
+    path = scratch_path(spark, "states")
+    sinks.write_csv(listed, path)
+    states = locations.rename_states(files.read_state_coordinates(spark, path))
+    reported = table(spark, sf, "nation").select(
+        "n_name", F.when(F.col("n_name") == "NATION_3", "Washington").otherwise(F.col("n_name")).alias("state")
+    )
+    return reported.join(states, "state", "left").select("n_name", "state", "latitude")
+
+
+@query(
+    "a15_census_sums",
+    "A15 E6",
+    """SELECT c_nationkey % 3 AS SEX, c_nationkey AS ORIGIN, CAST(sum(c_custkey) AS BIGINT) AS POPULATION FROM customer GROUP BY ALL""",
+)
+def a15_census_sums(spark, sf):
+    people = table(spark, sf, "customer").select(
+        (F.col("c_nationkey") % 3).alias("SEX"),
+        F.col("c_nationkey").alias("ORIGIN"),
+        F.lit(1).alias("RACE"),
+        (F.col("c_custkey") % 90).cast("int").alias("AGE"),
+        F.col("c_custkey").alias("POPULATION"),
+    )
+    path = scratch_path(spark, "census")
+    sinks.write_csv(people, path)
+    return star.sum_fact(files.read_census(spark, path), ["SEX", "ORIGIN"], "POPULATION")
+
+
+@query(
+    "a16_distinct_locations",
+    "A16 H6",
+    with_sql("cumulated", "SELECT DISTINCT state, county, fips FROM cumulated"),
+)
+def a16_distinct_locations(spark, sf):
+    path = scratch_path(spark, "cases-csv")
+    sinks.write_csv(cumulated(spark, sf).select(*schemas.CASES_CUMULATED.names), path)
+    return locations.distinct_locations(files.read_cases(spark, path))
+
+
+@query(
+    "c3_generated_casts",
+    "C3 C4 J5",
+    """SELECT o_orderkey, CAST(round(o_totalprice) AS INT) AS whole, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders""",
+)
+def c3_generated_casts(spark, sf):
+    """Text columns, one with unreadable entries, cast by a field-to-type table."""
+    texts = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.round("o_totalprice").cast("bigint").cast("string").alias("whole"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("string")).otherwise("n/a").alias("price"),
+        F.col("o_orderdate").cast("date").cast("string").alias("day"),
+    )
+    typed = fx.cast_all(texts, {"whole": "int", "price": "double", "day": "date"})
+    return typed.withColumn("day", F.col("day").cast("string"))
+
+
+@query(
+    "c14_sentinel_to_null",
+    "C14",
+    "SELECT s_suppkey, CASE WHEN s_acctbal >= 0 THEN round(s_acctbal, 1) END AS elevation FROM supplier",
+)
+def c14_sentinel_to_null(spark, sf):
+    reported = F.when(F.col("s_acctbal") < 0, UNKNOWN_ELEVATION).otherwise(F.round("s_acctbal", 1))
+    return table(spark, sf, "supplier").select("s_suppkey", fx.null_if(reported, UNKNOWN_ELEVATION).alias("elevation"))
+
+
+@query(
+    "c18_rows_with_gaps",
+    "C18",
+    with_sql("observations", "SELECT event_id, quality_flag FROM observations WHERE value IS NULL OR quality_flag IS NULL"),
+)
+def c18_rows_with_gaps(spark, sf):
+    rows = observations(spark, sf).select("event_id", "value", "quality_flag")
+    return rows.where(fx.any_null(["value", "quality_flag"])).select("event_id", "quality_flag")
+
+
+@query(
+    "c25_parameterised_query",
+    "C25 C26",
+    with_sql(
+        "observations",
+        """SELECT o.measured, o.station_id, CAST(o.date AS VARCHAR) AS date, o.value FROM observations o
+WHERE quality_flag IS NULL AND measured IN ('SNOW', 'PRCP')""",
+    ),
+)
+def c25_parameterised_query(spark, sf):
+    """The filter as an SQL template: the tables are arguments."""
+    rows = observations(spark, sf)
+    chosen = rows.where(F.col("measured").isin("SNOW", "PRCP")).select("station_id", "measured").distinct()
+    return spark.sql(
+        """WITH passed AS (SELECT * FROM {full} WHERE quality_flag IS NULL)
+        SELECT measured, station_id, CAST(date AS STRING) AS date, value
+        FROM passed LEFT SEMI JOIN {selected} USING (station_id, measured)""",
+        full=rows,
+        selected=chosen,
+    )

@@ -414,3 +414,29 @@ WHERE station_id NOT IN (SELECT station_id FROM observations WHERE value > 350)
 def c9_without_either(spark, sf):
     rows = observations(spark, sf)
     return _show(joins.without_either(rows, rows.where(F.col("value") > 350), ["station_id", "measured"]))
+
+
+@query(
+    "e2_distinct_days",
+    "E2",
+    with_sql(
+        "observations", "SELECT station_id, measured, count(DISTINCT date) AS nb_days FROM observations GROUP BY ALL"
+    ),
+)
+def e2_distinct_days(spark, sf):
+    return quality.reporting_days(observations(spark, sf))
+
+
+@query(
+    "c13_thresholds",
+    "C13 C27 I1",
+    with_sql(
+        "observations",
+        """SELECT event_id, CASE WHEN value > 100 THEN value END AS far, value > 200 AS farther FROM observations""",
+    ),
+)
+def c13_thresholds(spark, sf):
+    value = F.col("value")
+    return observations(spark, sf).select(
+        "event_id", F.when(value > 100, value).alias("far"), (value > 200).alias("farther")
+    )

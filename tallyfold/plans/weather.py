@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from tallyfold import schemas
 from tallyfold.fixed_values import ELEMENTS, MAX_DISTANCE, MIN_REPORTED_DAYS, TERRITORY_PREFIXES
 from tallyfold.functions.columns import has_prefix
+from tallyfold.operators import reshape
 from tallyfold.operators.delta import KEYS, ORDERS, apply_delta, relevant
 from tallyfold.operators.joins import keep_known
 from tallyfold.operators.latest import lowest_colocated
 from tallyfold.operators.nearest import nearest_per_element
 from tallyfold.operators.quality import passed_quality, significant_pairs
-from tallyfold.session import scratch_path
+from tallyfold.session import staged
 from tallyfold.sinks.files import write_partitioned
 from tallyfold.sources.files import read_parquet, read_weather
 
@@ -95,8 +96,10 @@ def apply_deltas_to_path(
     again gives the same fact, so a run that was cut off is simply repeated.
     """
     columns = ["measured", "station_id", "date", "value", "month"]
-    parts = {name: with_month(rows).select(*columns) for name, rows in deltas.items()}
-    keys = parts["delete"].unionByName(parts["insert"]).unionByName(parts["update"])
+    marked = reshape.stack_sources({name: with_month(rows).select(*columns) for name, rows in deltas.items()}, "op")
+    # Read, checked and filtered once; the deltas are used for pruning and for the result.
+    keys = staged(marked, "delta-rows")
+    parts = {name: keys.where(F.col("op") == name).drop("op") for name in deltas}
     # Partition names, not data: they prune the scan to the directories the deltas touch.
     touched = keys.select(*FACT_PARTITIONS).distinct()
     names = [(row.measured, row.month) for row in touched.collect()]
@@ -106,12 +109,10 @@ def apply_deltas_to_path(
         .join(touched, list(FACT_PARTITIONS), "left_semi")
         .select(*columns)
     )
-    staged_path = scratch_path(spark, "delta")
     result = apply_delta(affected, parts["delete"], parts["insert"], parts["update"], order, (*KEYS, "month"))
-    write_partitioned(result, staged_path, FACT_PARTITIONS)
-    staged = spark.read.schema(FACT_SCHEMA).parquet(staged_path)
-    written = {(row.measured, row.month) for row in staged.select(*FACT_PARTITIONS).distinct().collect()}
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FACT_PARTITIONS).parquet(path)
+    result = staged(result.hint("rebalance", *FACT_PARTITIONS), "fact-partitions")
+    written = {(row.measured, row.month) for row in result.select(*FACT_PARTITIONS).distinct().collect()}
+    write_partitioned(result, path, FACT_PARTITIONS)
     # A partition left without rows is not written, hence not replaced: drop its directory.
     jvm = spark.sparkContext._jvm
     for measured, month in names:

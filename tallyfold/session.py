@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "tallyfold", master: str | None = None, **conf: str) -> SparkSession:
@@ -18,6 +18,8 @@ def build_session(app_name: str = "tallyfold", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # Call-site capture costs milliseconds per column expression and only feeds error texts.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     builder = SparkSession.builder.appName(app_name)
@@ -45,3 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), "tallyfold", f"{name}-{uuid.uuid4().hex}")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table: what follows reads it instead of computing it again.
+
+    It survives lost executors, which a cached frame does not.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
