@@ -22,7 +22,7 @@ _FIRST = Window.unboundedPreceding
 
 
 def block_count(df: DataFrame) -> int:
-    """Blocks to cut an order into: four per shuffle partition, as a power of two."""
+    """Blocks to cut an order into: four per shuffle partition, as a power of two, 16384 at most."""
     wanted = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return min(max(16, 1 << (wanted - 1).bit_length()), 1 << 14)
 
@@ -35,13 +35,14 @@ def with_value_block(df: DataFrame, column: str, blocks: int | None = None) -> D
     """
     blocks = blocks or block_count(df)
     wanted = 16 * blocks
-    total = df.agg(F.expr("count(1) AS _n"))
     hashed = f"xxhash64({', '.join(df.columns)})"
+    # Counting the hash keeps the columns the other readers need, so they share one shuffle.
+    total = df.agg(F.expr(f"count({hashed}) AS _n"))
     sample = df.crossJoin(F.broadcast(total)).where(
         f"(double({hashed}) + {2.0**63!r}D) / {2.0**64!r}D * _n < {wanted}"
     )
     bounds = sample.agg(F.expr(f"array_sort(collect_list({column})) AS _sample")).selectExpr(
-        f"transform(sequence(1, {blocks - 1}), i -> get(_sample, int(floor(i * size(_sample) / {blocks})))) AS _bounds"
+        f"transform(sequence(1, {blocks - 1}), i -> get(_sample, int(floor(bigint(i) * size(_sample) / {blocks})))) AS _bounds"
     )
     # Binary search: the count of bounds below the value, one power of two at a time.
     out = df.crossJoin(F.broadcast(bounds)).selectExpr("*", f"0 AS {_BLOCK}")
@@ -141,15 +142,18 @@ def value_counts_before(
     return running_totals(counts, value, "n", keys, descending, blocks=blocks)
 
 
-def global_rank(df: DataFrame, value: str, name: str, descending: bool = True, blocks: int | None = None) -> DataFrame:
-    """Add the competition rank (ties share the lowest) of ``value`` over the whole table.
+def rank_table(rows: DataFrame, value: str, name: str, descending: bool = True, blocks: int | None = None) -> DataFrame:
+    """The competition rank of each distinct value (ties share the lowest), as (``_ranked``, name).
 
     Equal values are counted before they are ordered, and no window sees more than one block.
-    A null value has a null rank.
     """
-    ranks = value_counts_before(df, value, (), descending, blocks).select(
-        F.col(value).alias("_ranked"), (F.col("before") + 1).alias(name)
-    )
+    counted = value_counts_before(rows, value, (), descending, blocks)
+    return counted.select(F.col(value).alias("_ranked"), (F.col("before") + 1).alias(name))
+
+
+def global_rank(df: DataFrame, value: str, name: str, descending: bool = True, blocks: int | None = None) -> DataFrame:
+    """Add the rank of ``value`` over the whole table; a null value has a null rank."""
+    ranks = rank_table(df, value, name, descending, blocks)
     return df.join(ranks, F.col(value) == F.col("_ranked"), "left").drop("_ranked")
 
 

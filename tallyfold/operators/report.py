@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.columns import null_if, ratio
 from tallyfold.operators.joins import attach_total, join_null_safe
-from tallyfold.operators.ordered import global_rank, quantiles
+from tallyfold.operators.ordered import quantiles, rank_table
 
 
 def totals_per_location(cumulated: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -25,13 +25,24 @@ def with_shares(rows: DataFrame, measures: Sequence[str]) -> DataFrame:
     return out.select(*rows.columns, *shares)
 
 
-def with_ranks(rows: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Add ``rank_<measure>``: competition rank, the largest first."""
+def with_ranks(rows: DataFrame, measures: Sequence[str], base: DataFrame | None = None) -> DataFrame:
+    """Add ``rank_<measure>``: competition rank, the largest first.
+
+    Every rank is taken from ``base`` (by default the rows themselves), never from a frame that
+    already carries a rank.
+    """
+    base = rows if base is None else base
     for name in measures:
-        rows = global_rank(rows, name, f"rank_{name}")
+        ranks = rank_table(base.select(name), name, f"rank_{name}")
+        rows = rows.join(ranks, F.col(name) == F.col("_ranked"), "left").drop("_ranked")
     return rows
 
 
+def rank_and_share(rows: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Rank and share of the total for each measure. The rows are read several times: stage dear ones."""
+    return with_ranks(with_shares(rows, measures), measures, base=rows)
+
+
 def share_of(rows: DataFrame, condition: Column, name: str = "share") -> DataFrame:
     """One row: the part of all rows for which the condition holds."""
     return rows.agg(ratio(F.count_if(condition), F.count(F.lit(1))).alias(name))

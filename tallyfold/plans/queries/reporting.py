@@ -8,6 +8,7 @@ from tallyfold.functions import columns as fx
 from tallyfold.operators import ordered, quality, report, reshape
 from tallyfold.plans.registry import query
 from tallyfold.plans.standins import cumulated, table, with_sql
+from tallyfold.session import staged
 
 PLACE = ["state", "county", "fips"]
 
@@ -30,8 +31,7 @@ _SHOWN = "l_suppkey, cases, deaths, rank_cases, rank_deaths, round(ratio_cases,
 
 
 def _ranked(spark, sf):
-    rows = report.with_shares(_revenue(spark, sf), ["cases", "deaths"])
-    return report.with_ranks(rows, ["cases", "deaths"])
+    return report.rank_and_share(_revenue(spark, sf), ["cases", "deaths"])
 
 
 def _shown(rows):
@@ -88,7 +88,7 @@ WHERE fips IS NULL""",
     ),
 )
 def i5_ranks_without_code(spark, sf):
-    rows = report.with_ranks(report.with_shares(_totals(spark, sf), ["cases"]), ["cases"])
+    rows = report.rank_and_share(staged(_totals(spark, sf), "totals"), ["cases"])
     return rows.where(F.col("fips").isNull()).select(
         "state", "county", fx.scientific("ratio_cases").alias("share"), "rank_cases"
     )

@@ -13,11 +13,20 @@ from tallyfold.functions import columns as fx
 from tallyfold.operators import locations, star
 from tallyfold.plans import cases as case_jobs
 from tallyfold.plans import weather as weather_jobs
-from tallyfold.plans.queries.cases import _DAILY, _KNOWN, LOADED_TO, PLACE
+from tallyfold.plans.queries.cases import (
+    _DAILY,
+    _KNOWN,
+    FIRST_FROM,
+    FIRST_TO,
+    LOADED_TO,
+    PLACE,
+    SECOND_FROM,
+    _between,
+)
 from tallyfold.plans.queries.weather import _ROLES, _roles, _without
 from tallyfold.plans.registry import query
 from tallyfold.plans.standins import iso_day, cumulated, nation_locations, observations, table, with_sql
-from tallyfold.session import scratch_path
+from tallyfold.session import scratch_path, staged
 from tallyfold.sinks import files as sinks
 from tallyfold.sources import files, text
 from tallyfold.streaming import feeds
@@ -360,16 +369,16 @@ def stream_delta(spark, sf):
     ),
 )
 def stream_cases(spark, sf):
-    """First load up to a day, then the later counts, overlapping, as files of a stream."""
-    rows, locations = cumulated(spark, sf), nation_locations(spark, sf)
+    """First load up to a day, then the later counts as two overlapping batches of a stream."""
+    rows, known = staged(cumulated(spark, sf), "cumulated"), nation_locations(spark, sf)
     daily, snapshot = scratch_path(spark, "daily"), scratch_path(spark, "snapshot")
     incoming = scratch_path(spark, "incoming")
-    case_jobs.first_load(rows.where(F.col("date") <= F.lit(LOADED_TO).cast("date")), locations, daily, snapshot)
-    later = rows.where(F.col("date") >= F.lit("1997-11-01").cast("date"))
-    later.select(*schemas.CASES_CUMULATED.names).coalesce(1).write.option("header", True).csv(incoming)
-    stream = feeds.case_batch_stream(spark, incoming, locations, daily, snapshot, scratch_path(spark, "checkpoint"))
+    case_jobs.first_load(rows.where(F.col("date") <= F.lit(LOADED_TO).cast("date")), known, daily, snapshot)
+    for seq, batch in ((1, _between(rows, FIRST_FROM, FIRST_TO)), (2, _between(rows, SECOND_FROM))):
+        sinks.write_csv(batch.select(*schemas.CASES_CUMULATED.names), f"{incoming}/seq={seq}")
+    stream = feeds.case_batch_stream(spark, incoming, known, daily, snapshot, scratch_path(spark, "checkpoint"))
     stream.awaitTermination()
-    named = case_jobs.read_daily(spark, daily).join(locations, "location_id")
+    named = case_jobs.read_daily(spark, daily).join(known, "location_id")
     return named.select(*PLACE, iso_day(), "daily_cases", "daily_deaths")
 
 

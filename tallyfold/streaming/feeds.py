@@ -1,9 +1,16 @@
-"""The batch jobs driven by files that arrive. Both are safe to replay: a batch writes the same again."""
+"""The batch jobs driven by files that arrive.
+
+Files come in numbered directories, ``seq=<n>/...``; a directory is complete when it becomes visible
+(written elsewhere, then renamed). Replaying a batch writes the same tables again.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyfold import schemas
@@ -11,54 +18,48 @@ from tallyfold.plans.cases import next_batch
 from tallyfold.plans.weather import apply_deltas_to_path, clean_deltas
 from tallyfold.sources.files import DELTA_OPERATIONS
 
-DELTA_STREAM_SCHEMA = schemas.columns(
-    "station_id string, date string, measured string, value string, measurement_flag string, "
-    "quality_flag string, source_flag string, hour string, seq int, op string"
-)
+DELTA_STREAM_SCHEMA = T.StructType([*schemas.WEATHER_RAW, *schemas.columns("seq int, op string")])
+CASE_STREAM_SCHEMA = T.StructType([*schemas.CASES_CUMULATED, *schemas.columns("seq int")])
 
 
-def weather_delta_stream(
-    spark: SparkSession, incoming: str, fact_path: str, selected: DataFrame, checkpoint: str
+def _run(
+    files: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
-    """Apply delta files named ``seq=<n>/op=<delete|insert|update>/*.csv`` to the stored fact, in order."""
+    """Hand the rows of each numbered directory to ``handle``, in order, until none is left."""
 
-    def apply(batch: DataFrame, _: int) -> None:
+    def each(batch: DataFrame, _: int) -> None:
         batch.persist()
         try:
-            # One number per delta directory that arrived, not data.
+            # One number per directory that arrived, not data.
             for row in batch.select("seq").distinct().orderBy("seq").collect():
-                rows = batch.where(F.col("seq") == row.seq)
-                parts = {op: rows.where(F.col("op") == op).drop("seq", "op") for op in DELTA_OPERATIONS}
-                apply_deltas_to_path(spark, fact_path, clean_deltas(parts, selected))
+                handle(batch.where(F.col("seq") == row.seq).drop("seq"), row.seq)
         finally:
             batch.unpersist()
 
+    writer = files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def weather_delta_stream(
+    spark: SparkSession, incoming: str, fact_path: str, selected: DataFrame, checkpoint: str
+) -> StreamingQuery:
+    """Apply delta files named ``seq=<n>/op=<delete|insert|update>/*.csv`` to the stored fact."""
+
+    def apply(rows: DataFrame, _: int) -> None:
+        parts = {op: rows.where(F.col("op") == op).drop("op") for op in DELTA_OPERATIONS}
+        apply_deltas_to_path(spark, fact_path, clean_deltas(parts, selected))
+
     files = spark.readStream.schema(DELTA_STREAM_SCHEMA).option("header", False).csv(incoming)
-    return (
-        files.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _run(files, apply, checkpoint)
 
 
 def case_batch_stream(
     spark: SparkSession, incoming: str, locations: DataFrame, daily_path: str, snapshot_path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Load each file of recent cumulated counts as one batch, numbered after the first load."""
-
-    def load(batch: DataFrame, number: int) -> None:
-        next_batch(spark, batch, locations, daily_path, snapshot_path, number + 1)
-
-    files = (
-        spark.readStream.schema(schemas.CASES_CUMULATED)
-        .option("header", True)
-        .option("maxFilesPerTrigger", 1)
-        .csv(incoming)
-    )
-    return (
-        files.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Load recent cumulated counts named ``seq=<n>/*.csv``, n from 1, as batch n."""
+
+    def load(rows: DataFrame, number: int) -> None:
+        next_batch(spark, rows, locations, daily_path, snapshot_path, number)
+
+    files = spark.readStream.schema(CASE_STREAM_SCHEMA).option("header", True).csv(incoming)
+    return _run(files, load, checkpoint)
