@@ -72,4 +72,5 @@ def with_coordinates(locations: DataFrame) -> DataFrame:
 
 
 def with_location_id(locations: DataFrame) -> DataFrame:
-    return locations.withColumn("location_id", surrogate_id(*PLACE))
+    """Add the id; the job fails should two places ever share one."""
+    return one_row_per_key(locations.withColumn("location_id", surrogate_id(*PLACE)), ["location_id"])

@@ -62,8 +62,8 @@ _SELECTED = f"""selected AS (
   GROUP BY ALL HAVING count(DISTINCT date) > {MIN_DAYS})"""
 
 
-def _selected(spark, sf):
-    rows = quality.passed_quality(observations(spark, sf)).where(
+def _selected(rows):
+    rows = quality.passed_quality(rows).where(
         fx.has_prefix("station_id", TERRITORY_PREFIXES) & F.col("measured").isin(ELEMENTS)
     )
     return quality.significant_pairs(rows, MIN_DAYS)
@@ -71,7 +71,7 @@ def _selected(spark, sf):
 
 @query("l5_significant_pairs", "L5 E2 C13", with_sql("observations", "SELECT * FROM selected", _SELECTED))
 def l5_significant_pairs(spark, sf):
-    return _selected(spark, sf)
+    return _selected(observations(spark, sf))
 
 
 @query(
@@ -111,7 +111,7 @@ def e10_distinct_values(spark, sf):
 def d16_relevant_rows(spark, sf):
     rows = observations(spark, sf)
     keep = [c for c in rows.columns if c != "quality_flag"]
-    return _show(delta.relevant(rows, _selected(spark, sf), keep))
+    return _show(delta.relevant(rows, _selected(rows), keep))
 
 
 @query(
@@ -168,8 +168,9 @@ JOIN selected s ON s.station_id = o.station_id AND s.measured = o.measured""",
     ),
 )
 def d3_two_key_join(spark, sf):
-    mapping = _selected(spark, sf).withColumnRenamed("measured", "element")
-    rows = reshape.filtered_observations(observations(spark, sf), mapping)
+    observed = observations(spark, sf)
+    mapping = _selected(observed).withColumnRenamed("measured", "element")
+    rows = reshape.filtered_observations(observed, mapping)
     return rows.select("event_id", "station_id", "element", "nb_days")
 
 

@@ -16,7 +16,7 @@ from tallyfold.operators.joins import keep_known
 from tallyfold.operators.latest import lowest_colocated
 from tallyfold.operators.nearest import nearest_per_element
 from tallyfold.operators.quality import passed_quality, significant_pairs
-from tallyfold.session import staged
+from tallyfold.session import drop_path, staging
 from tallyfold.sinks.files import write_partitioned
 from tallyfold.sources.files import read_parquet, read_weather
 
@@ -97,25 +97,24 @@ def apply_deltas_to_path(
     """
     columns = ["measured", "station_id", "date", "value", "month"]
     marked = reshape.stack_sources({name: with_month(rows).select(*columns) for name, rows in deltas.items()}, "op")
-    # Read, checked and filtered once; the deltas are used for pruning and for the result.
-    keys = staged(marked, "delta-rows")
-    parts = {name: keys.where(F.col("op") == name).drop("op") for name in deltas}
-    # Partition names, not data: they prune the scan to the directories the deltas touch.
-    touched = keys.select(*FACT_PARTITIONS).distinct()
-    names = [(row.measured, row.month) for row in touched.collect()]
-    affected = (
-        read_fact(spark, path)
-        .where(F.col("measured").isin({m for m, _ in names}) & F.col("month").isin({m for _, m in names}))
-        .join(touched, list(FACT_PARTITIONS), "left_semi")
-        .select(*columns)
-    )
-    result = apply_delta(affected, parts["delete"], parts["insert"], parts["update"], order, (*KEYS, "month"))
-    result = staged(result.hint("rebalance", *FACT_PARTITIONS), "fact-partitions")
-    written = {(row.measured, row.month) for row in result.select(*FACT_PARTITIONS).distinct().collect()}
-    write_partitioned(result, path, FACT_PARTITIONS)
+    with staging(spark) as stage:
+        # Read, checked and filtered once; the deltas serve for pruning and for the result.
+        rows = stage(marked, "delta-rows")
+        parts = {name: rows.where(F.col("op") == name).drop("op") for name in deltas}
+        # Partition names, not data: they prune the scan to the directories the deltas touch.
+        touched = rows.select(*FACT_PARTITIONS).distinct()
+        names = [(row.measured, row.month) for row in touched.collect()]
+        affected = (
+            read_fact(spark, path)
+            .where(F.col("measured").isin({m for m, _ in names}) & F.col("month").isin({m for _, m in names}))
+            .join(touched, list(FACT_PARTITIONS), "left_semi")
+            .select(*columns)
+        )
+        result = apply_delta(affected, parts["delete"], parts["insert"], parts["update"], order, (*KEYS, "month"))
+        result = stage(result.hint("rebalance", *FACT_PARTITIONS), "fact-partitions")
+        written = {(row.measured, row.month) for row in result.select(*FACT_PARTITIONS).distinct().collect()}
+        write_partitioned(result, path, FACT_PARTITIONS)
     # A partition left without rows is not written, hence not replaced: drop its directory.
-    jvm = spark.sparkContext._jvm
     for measured, month in names:
         if (measured, month) not in written:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/measured={measured}/month={month}")
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            drop_path(spark, f"{path}/measured={measured}/month={month}")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,15 +35,16 @@ def build_session(app_name: str = "tallyfold", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only a session that names none (a test on one machine) gets a folder of its own.
+    Only a local session that names none (a test) gets a folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        named = tempfile.mkdtemp(prefix="tallyfold-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyfold-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -49,11 +52,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "tallyfold", f"{name}-{uuid.uuid4().hex}")
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame as a written table: what follows reads it instead of computing it again.
 
     It survives lost executors, which a cached frame does not.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Like :func:`staged` for the length of a job; its tables are dropped at the end."""
+    paths: list[str] = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        return _written(df, paths[-1])
+
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            drop_path(spark, path)

@@ -209,3 +209,36 @@ def test_quality_helpers(spark):
     assert not reshape.same_rows(frame, frame.unionByName(frame.limit(1))).first().equal
     with pytest.raises(ValueError, match="nothing"):
         quality.require_rows(frame.limit(0), "nothing")
+
+
+def test_published_locations(spark):
+    from tallyfold.plans import locations as jobs
+
+    cases, gazetteer, states = (scratch_path(spark, name) for name in ("cases", "gazetteer", "states"))
+    tail = "1\t2\t3.0\t4.0\t39.1\t-75.5"
+    lines(
+        spark,
+        "date,county,state,fips,cases,deaths",
+        "2020-03-01,Kent,Delaware,10001,1,0",
+        "2020-03-02,Kent,Delaware,10001,2,0",
+        "2020-03-02,Unknown,Washington,,2,",
+        "2020-03-02,Atlantis,Guam,,2,",
+    ).coalesce(1).write.text(cases)
+    lines(spark, "USPS\tGEOID\tX", f"DE\t10001\t00161526\tKent County\t{tail}").coalesce(1).write.text(gazetteer)
+    lines(spark, "state,latitude,longitude", "Washington State,47.75,-120.74").coalesce(1).write.text(states)
+    target = scratch_path(spark, "locations")
+    for _ in range(2):
+        jobs.publish_locations(spark, cases, gazetteer, states, target)
+    rows = jobs.read_locations(spark, target).collect()
+    assert sorted((r.state, r.fips, r.latitude) for r in rows) == [("Delaware", "10001", 39.1), ("Washington", None, 47.75)]
+    assert len({r.location_id for r in rows}) == 2
+
+
+def test_staged_tables_go_with_their_job(spark):
+    from tallyfold.session import staging
+
+    with staging(spark) as stage:
+        table = stage(spark.range(3).toDF("id"), "numbers")
+        path = table.inputFiles()[0]
+        assert table.count() == 3
+    assert not os.path.exists(path.removeprefix("file:"))
