@@ -71,7 +71,7 @@ def nearest_per_element(
     stations: DataFrame,
     cutoff: float | None = MAX_DISTANCE,
     keep_ties: bool = True,
-    depth: int = 4,
+    depth: int = 5,
 ) -> DataFrame:
     """(location_id, measured, station_id, angle, distance, distance_km) of the nearest stations.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyfold.fixed_values import SIGNIFICANT_RANK
 from tallyfold.functions import columns as fx
 from tallyfold.operators import ordered, quality, report, reshape
 from tallyfold.plans.registry import query
@@ -13,21 +14,21 @@ from tallyfold.session import staged
 PLACE = ["state", "county", "fips"]
 
 _REVENUE = """revenue AS (
-  SELECT l_suppkey, round(sum(l_extendedprice), 2) AS cases, CAST(sum(l_quantity) AS BIGINT) AS deaths
+  SELECT l_partkey, round(sum(l_extendedprice), 2) AS cases, CAST(sum(l_quantity) AS BIGINT) AS deaths
   FROM lineitem GROUP BY 1)"""
 
 
 def _revenue(spark, sf):
     return (
         table(spark, sf, "lineitem")
-        .groupBy("l_suppkey")
+        .groupBy("l_partkey")
         .agg(F.round(F.sum("l_extendedprice"), 2).alias("cases"), F.sum("l_quantity").cast("bigint").alias("deaths"))
     )
 
 
 _RANKS = """ranked AS (SELECT *, rank() OVER (ORDER BY cases DESC) AS rank_cases, rank() OVER (ORDER BY deaths DESC) AS rank_deaths,
   cases / (SELECT sum(cases) FROM revenue) AS ratio_cases, deaths / (SELECT sum(deaths) FROM revenue) AS ratio_deaths FROM revenue)"""
-_SHOWN = "l_suppkey, cases, deaths, rank_cases, rank_deaths, round(ratio_cases, 8) AS ratio_cases, round(ratio_deaths, 8) AS ratio_deaths"
+_SHOWN = "l_partkey, cases, deaths, rank_cases, rank_deaths, round(ratio_cases, 8) AS ratio_cases, round(ratio_deaths, 8) AS ratio_deaths"
 
 
 def _ranked(spark, sf):
@@ -36,7 +37,7 @@ def _ranked(spark, sf):
 
 def _shown(rows):
     ratios = [F.round(c, 8).alias(c) for c in ("ratio_cases", "ratio_deaths")]
-    return rows.select("l_suppkey", "cases", "deaths", "rank_cases", "rank_deaths", *ratios)
+    return rows.select("l_partkey", "cases", "deaths", "rank_cases", "rank_deaths", *ratios)
 
 
 @query("m4_rank_and_share", "M4 F11 E19 D15 J13", f"WITH {_REVENUE},\n{_RANKS}\nSELECT {_SHOWN} FROM ranked")
@@ -47,10 +48,10 @@ def m4_rank_and_share(spark, sf):
 @query(
     "i4_significant_ranks",
     "I4",
-    f"WITH {_REVENUE},\n{_RANKS}\nSELECT {_SHOWN} FROM ranked WHERE rank_cases < 50 OR rank_deaths < 50",
+    f"WITH {_REVENUE},\n{_RANKS}\nSELECT {_SHOWN} FROM ranked WHERE rank_cases < 500 OR rank_deaths < 500",
 )
 def i4_significant_ranks(spark, sf):
-    return _shown(_ranked(spark, sf).where((F.col("rank_cases") < 50) | (F.col("rank_deaths") < 50)))
+    return _shown(_ranked(spark, sf).where((F.col("rank_cases") < SIGNIFICANT_RANK) | (F.col("rank_deaths") < SIGNIFICANT_RANK)))
 
 
 @query(
@@ -111,13 +112,13 @@ def e16_crosstab(spark, sf):
 
 
 @query(
-    "i2_top_suppliers",
+    "i2_top_parts",
     "I2 I1",
-    f"WITH {_REVENUE}\nSELECT l_suppkey, cases FROM revenue ORDER BY cases DESC, l_suppkey LIMIT 10",
+    f"WITH {_REVENUE}\nSELECT l_partkey, cases FROM revenue ORDER BY cases DESC, l_partkey LIMIT 10",
 )
-def i2_top_suppliers(spark, sf):
-    rows = _revenue(spark, sf).select("l_suppkey", "cases")
-    return report.top_rows(rows, [F.desc("cases"), F.asc("l_suppkey")], 10)
+def i2_top_parts(spark, sf):
+    rows = _revenue(spark, sf).select("l_partkey", "cases")
+    return report.top_rows(rows, [F.desc("cases"), F.asc("l_partkey")], 10)
 
 
 @query("i1_sorted_nations", "I1 I3", "SELECT n_name, n_regionkey FROM nation ORDER BY n_regionkey DESC, n_name")

@@ -239,7 +239,7 @@ def a11_one_partition(spark, sf):
 
 @query(
     "a14_delta_files",
-    "A14 S12 B9",
+    "A14 B9",
     with_sql(
         "observations",
         """SELECT 'delete' AS operation, count(*) AS n FROM observations WHERE measured = 'TOBS'

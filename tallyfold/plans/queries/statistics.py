@@ -84,7 +84,7 @@ def m2_lagged_per_group(spark, sf):
     return rows.select("status", F.col("lag").cast("bigint").alias("lag"), F.round("corr", 8).alias("corr"))
 
 
-_FIT = """SELECT {key} n, round(slope, 6) AS slope, round(intercept, 4) AS intercept, round(r2, 8) AS r2,
+_FIT = """SELECT {key} CAST(n AS BIGINT) AS n, round(slope, 6) AS slope, round(intercept, 4) AS intercept, round(r2, 8) AS r2,
   round(sqrt((1 - r2) * syy / (n - 2) / sxx), 6) AS slope_error,
   round(slope / sqrt((1 - r2) * syy / (n - 2) / sxx), 4) AS slope_t
 FROM (SELECT {key} regr_count(y, x) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_r2(y, x) AS r2,

@@ -46,7 +46,7 @@ def select_stations(
 
 
 def map_locations(
-    locations: DataFrame, stations: DataFrame, selected: DataFrame, cutoff: float | None = MAX_DISTANCE, depth: int = 4
+    locations: DataFrame, stations: DataFrame, selected: DataFrame, cutoff: float | None = MAX_DISTANCE, depth: int = 5
 ) -> DataFrame:
     """Nearest selected station per location and element."""
     candidates = lowest_colocated(stations.join(selected, "station_id"))
