@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from tallyfold.plans.queries import cases, geography, groups, reporting, sources, statistics, weather  # noqa: F401
+from tallyfold.plans.queries import cases, expressions, geography, groups, reporting, sources, statistics, weather  # noqa: F401

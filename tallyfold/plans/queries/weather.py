@@ -408,13 +408,14 @@ def h3_stack_sources(spark, sf):
     with_sql(
         "observations",
         f"""SELECT {OUT} FROM observations
-WHERE station_id NOT IN (SELECT station_id FROM observations WHERE value > 350)
-  AND measured NOT IN (SELECT measured FROM observations WHERE value > 350)""",
+WHERE station_id NOT IN (SELECT station_id FROM observations WHERE value > 250 AND measured = 'TOBS')
+  AND measured NOT IN (SELECT measured FROM observations WHERE value > 250 AND measured = 'TOBS')""",
     ),
 )
 def c9_without_either(spark, sf):
     rows = observations(spark, sf)
-    return _show(joins.without_either(rows, rows.where(F.col("value") > 350), ["station_id", "measured"]))
+    listed = rows.where((F.col("value") > 250) & (F.col("measured") == "TOBS"))
+    return _show(joins.without_either(rows, listed, ["station_id", "measured"]))
 
 
 @query(
