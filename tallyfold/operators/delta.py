@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators.joins import join_null_safe, keep_known
@@ -68,13 +69,22 @@ def apply_delta(
 ) -> DataFrame:
     """Delete, then write insert and update in the given order; the later one wins a shared key.
 
-    Insert and update are merged first, as the small sides: the fact meets one anti-join for deletes
-    and one for writes.
+    Insert and update are merged first, as the small sides. Deletes and writes then meet the fact in
+    one anti-join by key, so a large fact is shuffled once, or not at all when the deltas are small
+    enough to broadcast.
     """
     if tuple(order) not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
     parts = {"insert": insert.select(*fact.columns), "update": update.select(*fact.columns)}
     early, late = parts[order[1]], parts[order[2]]
     writes = upsert(one_per_key(early, keys).select(*fact.columns), late, keys)
-    kept = join_null_safe(delete_rows(fact, delete), writes, keys, "left_anti")
+    marks = (
+        delete.select(*fact.columns, F.lit(False).alias("_write"))
+        .unionByName(writes.select(*keys, F.lit(True).alias("_write")), allowMissingColumns=True)
+        .withColumnsRenamed({c: f"_mark_{c}" for c in fact.columns})
+    )
+    same = {c: F.col(c).eqNullSafe(F.col(f"_mark_{c}")) for c in fact.columns}
+    same_key = reduce(Column.__and__, [same[k] for k in keys])
+    same_rest = reduce(Column.__and__, [same[c] for c in fact.columns if c not in keys], F.lit(True))
+    kept = fact.join(marks, same_key & (F.col("_write") | same_rest), "left_anti")
     return kept.unionByName(writes)

@@ -247,17 +247,28 @@ def j1_substring(spark, sf):
 
 @query(
     "j2_split_and_join",
-    "J2 N4",
-    """SELECT doc_id, array_to_string(list_slice(regexp_split_to_array(trim(text, ' '), ' +'), 2, 4), ' ') AS words,
-       split_part(text, ',', 1) AS before FROM documents""",
+    "J2",
+    """SELECT doc_id, len(w) AS words, array_to_string(w, ' ') AS joined
+FROM (SELECT doc_id, regexp_split_to_array(trim(text, ' '), ' +') AS w FROM documents)""",
 )
 def j2_split_and_join(spark, sf):
     words = F.split(F.btrim("text", F.lit(" ")), " +")
     return table(spark, sf, "documents").select(
-        "doc_id", F.array_join(F.slice(words, 2, 3), " ").alias("words"), fx.before_comma("text").alias("before")
+        "doc_id", F.size(words).cast("bigint").alias("words"), F.array_join(words, " ").alias("joined")
     )
 
 
+@query(
+    "n4_before_comma",
+    "N4 J2",
+    """SELECT c_mktsegment AS race, count(*) AS count FROM customer GROUP BY 1""",
+)
+def n4_before_comma(spark, sf):
+    label = F.concat("c_mktsegment", F.lit(", "), F.col("c_nationkey").cast("string"))
+    rows = table(spark, sf, "customer").select(fx.before_comma(label).alias("race"))
+    return star.group_counts(rows, ["race"])
+
+
 @query(
     "j4_prefix_and_slice",
     "J4",

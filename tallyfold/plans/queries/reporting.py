@@ -100,15 +100,14 @@ def i5_ranks_without_code(spark, sf):
     "E16 C17",
     with_sql(
         "cumulated",
-        """SELECT substr(state, 1, 8) AS state, CAST(sum(deaths) FILTER (fips IS NULL) AS BIGINT) AS no_fips,
+        """SELECT state, CAST(sum(deaths) FILTER (fips IS NULL) AS BIGINT) AS no_fips,
        CAST(sum(deaths) FILTER (fips IS NOT NULL) AS BIGINT) AS fips_exist FROM totals GROUP BY 1""",
         _TOTALS,
     ),
 )
 def e16_crosstab(spark, sf):
     flag = F.when(F.col("fips").isNull(), 0).otherwise(1)
-    rows = _totals(spark, sf).withColumn("state", F.substring("state", 1, 8))
-    return reshape.crosstab_sums(rows, "state", flag, "deaths", {0: "no_fips", 1: "fips_exist"})
+    return reshape.crosstab_sums(_totals(spark, sf), "state", flag, "deaths", {0: "no_fips", 1: "fips_exist"})
 
 
 @query(
