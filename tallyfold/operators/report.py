@@ -72,9 +72,14 @@ def count_range(rows: DataFrame, keys: Sequence[str], group: Sequence[str], valu
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
+def _without_nan(rows: DataFrame, value: str) -> DataFrame:
+    """NaN becomes null, which every statistic skips."""
+    return rows.withColumn(value, F.when(~F.isnan(F.col(value).cast("double")), F.col(value)))
+
+
 def describe(rows: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of a numeric column."""
-    present = rows.where(F.col(value).isNotNull())
+    present = _without_nan(rows, value).where(F.col(value).isNotNull())
     simple = present.groupBy(*keys).agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
@@ -87,6 +92,7 @@ def describe(rows: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame
 
 def group_summary(rows: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """Mean, exact median, extremes and size of each group, the largest group first."""
+    rows = _without_nan(rows, value)
     simple = rows.groupBy(*keys).agg(
         F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), F.count(F.lit(1)).alias("len")
     )

@@ -1,4 +1,7 @@
-"""Explicit schemas of every table; nothing here is inferred from files."""
+"""Explicit schemas of every table; nothing here is inferred from files.
+
+FIXED VALUES: the names and types are those of the delivered and published tables.
+"""
 
 from pyspark.sql import types as T
 

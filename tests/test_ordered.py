@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import latest, ordered, quality, report, stats
 from tallyfold.operators.joins import keep_known
+from tallyfold.plans import queries as _registered  # noqa: F401
+from tallyfold.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +40,14 @@ def test_quantiles_per_key(spark, skewed):
         np.testing.assert_allclose(got[mine].astype(float), expected[theirs])
 
 
+def test_statistics_skip_nan_and_null(spark):
+    frame = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", None), ("a", 4.0), (None, 2.0)], "k string, v double")
+    row = report.describe(frame.where("k = 'a'"), "v").first()
+    assert (row["count"], row.mean, row.max, row.p50) == (2, 2.5, 4.0, 2.5)
+    got = {r.k: (r.len, r.mean, r.median) for r in report.group_summary(frame, "v", ["k"]).collect()}
+    assert got == {"a": (4, 2.5, 2.5), None: (1, 2.0, 2.0)}
+
+
 def test_blocks_change_nothing(spark, skewed):
     """Positions, running totals and previous values with and without blocks, null keys included."""
     frame = spark.createDataFrame(skewed).withColumn("key", F.nullif("key", F.lit(0)))
@@ -110,8 +120,6 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_no_query_leaves_the_jvm_or_pairs_everything(spark):
     """No Python stage, and no nested loop or product except against a one-row broadcast."""
-    from tallyfold.plans.registry import QUERIES
-
     small = "/root/testdata/sf0.001"
     for name in ("g1_nearest_per_element", "k12_two_batches", "m4_rank_and_share", "m2_lagged_per_group", "g6_resolve_locations"):
         text = plan(QUERIES[name].run(spark, small))
