@@ -64,3 +64,42 @@ def group_starts(*columns: np.ndarray) -> np.ndarray:
     for values in columns:
         starts[1:] |= values[1:] != values[:-1]
     return starts
+
+
+def broadcast_within(rows: DataFrame, limit: int) -> DataFrame:
+    """``rows`` (a written table) marked for broadcast if it has at most ``limit`` rows, else as it is."""
+    return F.broadcast(rows) if rows.count() <= limit else rows
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, usable: Column, limit: int
+) -> DataFrame:
+    """At most ``limit`` labelled ids, chosen by hash, with their texts: (``key``, ``text``, ``label``).
+
+    ``usable`` is a condition on ``key``. Ids that are null or labelled both ways are left out. The
+    ids are broadcast, which their number bounds; equal rows of one id count once.
+    """
+    agreed = (
+        labels.select(F.col(doc_id).alias("key"), F.col(label).cast("int").alias("label"))
+        .where(F.col("label").isin([0, 1]) & F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.min("label").alias("label"), F.max("label").alias("most"))
+        .where((F.col("label") == F.col("most")) & usable)
+    )
+    chosen = agreed.orderBy(F.xxhash64("key", F.lit(7)), "key").limit(limit).select("key", "label")
+    texts = docs.select(F.col(doc_id).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(chosen), "key").dropDuplicates(["key", "text"])
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
+    """Weights (the intercept last) of a ridge logistic regression by Newton's method."""
+    rows = np.column_stack([x, np.ones(len(y))])
+    weights = np.zeros(rows.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
+        hessian = (rows * (p * (1 - p))[:, None]).T @ rows + ridge * np.eye(len(weights))
+        step = np.linalg.solve(hessian, rows.T @ (y - p) - ridge * weights)
+        weights += step
+        if np.abs(step).max() < 1e-9:
+            break
+    return weights
