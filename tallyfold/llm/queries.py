@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyfold.llm import simhash
-from tallyfold.llm.common import table
+from tallyfold.llm import chat, decontaminate, extract, hnsw, mixing, quality, simhash, toxicity
+from tallyfold.llm.common import is_held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,6 +19,72 @@ def _register(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
     return run
 
 
+@_register
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@_register
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
+    taken = F.aggregate("copies", F.lit(0).cast("long"), lambda total, c: total + c["taken"])
+    return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 @_register
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
+@_register
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@_register
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@_register
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(rows.unionByName(own)))
+
+
+def toxic_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    return labelled_sample(docs, labels, "doc_id", "text", "toxic", ~is_held_out("key", 5, 0), toxicity.SAMPLE_ROWS)
+
+
+@_register
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.toxicity_scores(docs.select("doc_id", "text"), toxic_labels(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "row.doc_id",
+        is_held_out("row.doc_id", 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@_register
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    usable = ~is_held_out("key", 3, 1)
+    labelled = labelled_sample(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", usable, quality.SAMPLE_ROWS)
+    scored = quality.quality_scores(docs, labelled)
+    return scored.select(
+        "doc_id", is_held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
