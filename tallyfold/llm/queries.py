@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import chat, decontaminate, extract, hnsw, mixing, quality, simhash, toxicity
+from tallyfold.llm import chat, decontaminate, extract, hnsw, linededup, mixing, quality, simhash, toxicity
 from tallyfold.llm.common import is_held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", is_held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@_register
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.repeated_lines(table(spark, sf_dir, "documents")).drop("text_key")
