@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import chat, decontaminate, extract, hnsw, linededup, mixing, quality, simhash, toxicity
+from tallyfold.llm import chat, decontaminate, extract, hnsw, linededup, lm, mixing, quality, simhash, toxicity
 from tallyfold.llm.common import is_held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@_register
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.language_model_scores(table(spark, sf_dir, "documents"), is_held_out("doc_id", 10, 0))
+
+
 @_register
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
