@@ -205,7 +205,7 @@ class _Page:
             c, lc, t = chars[i], links[i], max(1, inner[i])
             if c:
                 base = max(math.e, math.log(c / max(1, c - lc) * lc + ratio * c + math.e))
-                gain = math.log(max(math.e, c / max(1, lc) * t / max(1, link_tags[i]))) / math.log(base)
+                gain = math.log(max(1.0, c / max(1, lc) * t / max(1, link_tags[i]))) / math.log(base)
                 density[i] = c / t * gain
             holder = self.parents[i]
             while holder and self.tags[holder] not in BLOCKS:
