@@ -1,10 +1,11 @@
 """Nearest station of every location, for each measured element.
 
 Points are unit vectors, so order by chord is order by angle and neither the antimeridian nor the
-poles need care. Station coordinates are summed up as boxes on nested cubes. Each location starts
-from the boxes around it at the coarsest level and goes down: a box stays only while it may hold
-something closer than the best box surely does. A far, dense cluster of stations is thus never
-compared station by station, and the answer equals that of all pairs.
+poles need care. Station coordinates are summed up as boxes on nested cubes; a cube is cut further
+only while it holds more than a few coordinates, so dense places get small cubes and empty ones none.
+Each location starts from the boxes around it at the coarsest level and goes down: a box stays only
+while it may hold something closer than the best box surely does. Dense clusters of stations, far or
+near, are thus never compared station by station, and the answer equals that of all pairs.
 """
 
 from __future__ import annotations
@@ -18,12 +19,14 @@ from tallyfold.fixed_values import EARTH_RADIUS_KM, MAX_DISTANCE
 from tallyfold.functions.columns import both_present
 from tallyfold.functions.geo import distance_in_cutoff_unit, distance_km, half_angle
 from tallyfold.operators.latest import leading_rows
+from tallyfold.session import staged
 
 _AXES = ("x", "y", "z")
 _FAN = 4  # edge ratio of two levels: a power of two, so that cubes nest exactly
 _SLACK = 1e-12  # on squared chords, above rounding and above the tie tolerance
-_BITS = 21  # of a cube number, per axis
+_EXACT_BITS = 52  # a cube number up to this size is exact in a double
 TIE_DIGITS = 12  # half angles equal to this many digits are ties
+LEAF = 16  # coordinates that a cube may hold without being cut
 
 # The expressions below are SQL text: one call each, where columns would take dozens.
 
@@ -39,30 +42,65 @@ def _vectors(df: DataFrame, edge: float) -> DataFrame:
     return vector.selectExpr("*", *[f"{a} / {edge!r}D AS q{a}" for a in _AXES])
 
 
-def _cube(level: int) -> str:
-    """Number of the cube at a level."""
-    x, y, z = (f"(floor(q{a} * {_FAN**level}) + {1 << (_BITS - 1)})" for a in _AXES)
-    return f"({x} * {1 << (2 * _BITS)} + {y} * {1 << _BITS} + {z})"
+def _cube(level: str) -> str:
+    """Number of the cube at a level (an expression), one part per axis."""
+    parts = ", ".join(f"'{a}', bigint(floor(q{a} * pow({_FAN}D, {level})))" for a in _AXES)
+    return f"named_struct({parts})"
 
 
-def _boxes(coordinates: DataFrame, level: int) -> DataFrame:
-    """Bounding box of the station coordinates in every cube of a level, with its parent cube."""
+def _nested(coordinates: DataFrame, deepest: int) -> DataFrame:
+    """Every coordinate once per level, with its cube and the cube above."""
+    each = coordinates.selectExpr("*", f"explode(sequence(0, {deepest})) AS level")
+    return each.selectExpr("*", f"{_cube('level')} AS cube", f"{_cube('greatest(level - 1, 0)')} AS parent")
+
+
+def _boxes(nested: DataFrame) -> DataFrame:
+    """Bounding box and number of the coordinates in every cube."""
     bounds = [F.expr(f"{side[:3]}({a}) AS {side}_{a}") for a in _AXES for side in ("min", "max")]
-    parent = _cube(level - 1) if level else _cube(0)
-    rows = coordinates.selectExpr("measured", *_AXES, f"{parent} AS parent", f"{_cube(level)} AS cube")
-    return rows.groupBy("measured", "parent", "cube").agg(*bounds)
+    return nested.groupBy("measured", "level", "parent", "cube").agg(F.count(F.lit(1)).alias("n"), *bounds)
+
+
+def _deepest(coordinates: DataFrame, most: int) -> int:
+    """The first level at which no cube holds more than ``LEAF`` coordinates, ``most`` at the latest."""
+    counts = _nested(coordinates, most).groupBy("measured", "level", "cube").count()
+    full = counts.where(F.col("count") > LEAF).agg(F.max("level")).first()[0]
+    return 0 if full is None else min(full + 1, most)
+
+
+_NEAR = " + ".join(f"pow(greatest(min_{a} - {a}, {a} - max_{a}, 0D), 2)" for a in _AXES)
+_FAR = " + ".join(f"pow(greatest(abs({a} - min_{a}), abs({a} - max_{a})), 2)" for a in _AXES)
+
+
+def _descended(candidates: DataFrame, boxes: DataFrame, level: int) -> DataFrame:
+    """Boxes of many coordinates replaced by those inside them; the others wait.
+
+    Those that wait still rule out others and may be ruled out. One join serves both: a waiting box
+    asks for a level that no box has, and its cube keeps it apart from others like it.
+    """
+    inside = boxes.where(F.col("level") == level).selectExpr(
+        "measured", "level AS asked", "parent AS cube", "cube AS inner_cube", "n AS inner_n", *[f"{m}_{a}" for a in _AXES for m in ("min", "max")]
+    )
+    asking = candidates.selectExpr("*", f"IF(level = {level - 1} AND n > {LEAF}, {level}, -1) AS asked")
+    return asking.join(inside, ["measured", "asked", "cube"], "left").selectExpr(
+        "latitude",
+        "longitude",
+        *_AXES,
+        "measured",
+        "IF(inner_n IS NULL, level, asked) AS level",
+        "coalesce(inner_cube, cube) AS cube",
+        "coalesce(inner_n, n) AS n",
+        f"IF(inner_n IS NULL, near, {_NEAR}) AS near",
+        f"IF(inner_n IS NULL, far, {_FAR}) AS far",
+    )
 
 
 def _keep_promising(candidates: DataFrame, limit: float) -> DataFrame:
     """Drop boxes that cannot hold the nearest coordinate."""
-    near = " + ".join(f"pow(greatest(min_{a} - {a}, {a} - max_{a}, 0D), 2)" for a in _AXES)
-    far = " + ".join(f"pow(greatest(abs({a} - min_{a}), abs({a} - max_{a})), 2)" for a in _AXES)
     return (
-        candidates.selectExpr("latitude", "longitude", *_AXES, "measured", "cube", f"{near} AS near", f"{far} AS far")
-        .where(f"near <= {limit!r}D")
+        candidates.where(f"near <= {limit!r}D")
         .selectExpr("*", "min(far) OVER (PARTITION BY latitude, longitude, measured) AS best")
         .where(f"near <= best + {_SLACK!r}D")
-        .select("latitude", "longitude", *_AXES, "measured", "cube")
+        .drop("best")
     )
 
 
@@ -71,15 +109,16 @@ def nearest_per_element(
     stations: DataFrame,
     cutoff: float | None = MAX_DISTANCE,
     keep_ties: bool = True,
-    depth: int = 5,
+    depth: int | None = None,
 ) -> DataFrame:
     """(location_id, measured, station_id, angle, distance, distance_km) of the nearest stations.
 
     ``locations``: location_id, latitude, longitude. ``stations``: station_id, measured, latitude,
     longitude. ``distance`` is in the cut-off's unit (half the great circle); locations without a
     station closer than ``cutoff`` are left out. Stations at equal distance are all kept, or the
-    smallest id alone. ``depth`` counts the levels; each divides the edge by four, starting from the
-    cut-off, and one more pays off when a cube of the last level holds many coordinates.
+    smallest id alone. Each level divides a cube's edge by four, starting from the cut-off; the number
+    of levels follows from the stations unless ``depth`` sets it. The boxes of all levels are summed up
+    in one pass, which runs when this is called, and staged in the shared folder.
     """
     reach = cutoff is not None and cutoff / EARTH_RADIUS_KM < math.pi / 2
     chord = 2 * math.sin(cutoff / EARTH_RADIUS_KM) if reach else 2.0
@@ -90,33 +129,42 @@ def nearest_per_element(
     placed = stations.where(both_present("latitude", "longitude"))
     points = _vectors(located.select("latitude", "longitude").distinct(), edge)
     coordinates = _vectors(placed.select("measured", "latitude", "longitude").distinct(), edge)
+    coordinates = staged(coordinates, "station-coordinates")
+    most = max(0, int((_EXACT_BITS - math.log2(1 / edge)) / math.log2(_FAN)))
+    deepest = _deepest(coordinates, most) if depth is None else min(depth - 1, most)
+    nested = _nested(coordinates, deepest)
+    boxes = staged(_boxes(nested), "station-boxes")
 
     steps = (-1, 0, 1)
-    shifts = [dx * (1 << (2 * _BITS)) + dy * (1 << _BITS) + dz for dx in steps for dy in steps for dz in steps]
-    around = ", ".join(f"cube0 + {shift}" for shift in shifts)
-    starts = points.selectExpr("latitude", "longitude", *_AXES, f"{_cube(0)} AS cube0").selectExpr(
+    shifts = [(dx, dy, dz) for dx in steps for dy in steps for dz in steps]
+    around = ", ".join(f"named_struct('x', c.x + {dx}, 'y', c.y + {dy}, 'z', c.z + {dz})" for dx, dy, dz in shifts)
+    starts = points.selectExpr("latitude", "longitude", *_AXES, f"{_cube('0')} AS c").selectExpr(
         "latitude", "longitude", *_AXES, f"explode(array({around})) AS cube"
     )
-    candidates = _keep_promising(starts.join(_boxes(coordinates, 0), "cube"), limit)
-    for level in range(1, depth):
-        down = candidates.withColumnRenamed("cube", "parent").join(_boxes(coordinates, level), ["measured", "parent"])
-        candidates = _keep_promising(down, limit)
+    first = starts.join(boxes.where("level = 0"), "cube").selectExpr(
+        "latitude", "longitude", *_AXES, "measured", "level", "cube", "n", f"{_NEAR} AS near", f"{_FAR} AS far"
+    )
+    candidates = _keep_promising(first, limit)
+    for level in range(1, deepest + 1):
+        candidates = _keep_promising(_descended(candidates, boxes, level), limit)
 
-    leaves = coordinates.select(
+    leaves = nested.select(
         "measured",
         F.col("latitude").alias("station_latitude"),
         F.col("longitude").alias("station_longitude"),
-        F.expr(_cube(depth - 1)).alias("cube"),
+        "level",
+        "cube",
     )
     angle = half_angle("latitude", "longitude", "station_latitude", "station_longitude")
-    pairs = candidates.drop(*_AXES).join(leaves, ["measured", "cube"]).withColumn("angle", angle)
+    wanted = candidates.select("latitude", "longitude", "measured", "level", "cube")
+    pairs = wanted.join(leaves, ["measured", "level", "cube"]).withColumn("angle", angle)
     if cutoff is not None:
         pairs = pairs.where(distance_in_cutoff_unit("angle") < cutoff)
     closest = leading_rows(
         pairs.withColumn("_order", F.round("angle", TIE_DIGITS)),
         ["latitude", "longitude", "measured"],
         [F.asc("_order")],
-    ).drop("_order", "cube")
+    ).drop("_order", "cube", "level")
 
     named = placed.select(
         "measured",
@@ -140,9 +188,9 @@ def nearest_per_element(
 def enrich_mapping(mapping: DataFrame, locations: DataFrame, stations: DataFrame) -> DataFrame:
     """Put names and states of both ends beside the mapping."""
     places = locations.select("location_id", "fips", "county", F.col("state").alias("location_state"))
-    ends = stations.select("station_id", "station_name", F.col("state").alias("station_state")).dropDuplicates(
-        ["station_id"]
-    )
+    # Of names or states that differ for one station, the first in order.
+    end = F.min(F.struct("station_name", F.col("state").alias("station_state"))).alias("_end")
+    ends = stations.groupBy("station_id").agg(end).select("station_id", "_end.*")
     return mapping.join(places, "location_id").join(ends, "station_id")
 
 

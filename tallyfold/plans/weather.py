@@ -46,7 +46,7 @@ def select_stations(
 
 
 def map_locations(
-    locations: DataFrame, stations: DataFrame, selected: DataFrame, cutoff: float | None = MAX_DISTANCE, depth: int = 5
+    locations: DataFrame, stations: DataFrame, selected: DataFrame, cutoff: float | None = MAX_DISTANCE
 ) -> DataFrame:
     """Nearest selected station per location and element."""
     candidates = lowest_colocated(stations.join(selected, "station_id"))
@@ -54,7 +54,6 @@ def map_locations(
         locations.select("location_id", "latitude", "longitude"),
         candidates.select("station_id", "measured", "latitude", "longitude"),
         cutoff,
-        depth=depth,
     )
 
 
