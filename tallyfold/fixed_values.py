@@ -6,14 +6,10 @@ data they describe.
 
 # Country and territory prefixes of the station ids.
 TERRITORY_PREFIXES = ["US", "CQ", "GQ", "AQ", "RQ", "VQ"]
-MAINLAND_FIRST_PREFIXES = ["US", "CQ", "GQ", "RQ", "VQ"]
+UNINCORPORATED_FIRST_PREFIXES = ["RQ", "VQ", "CQ", "AQ", "US"]
 
 # Observed elements.
 ELEMENTS = ["TMIN", "PRCP", "SNOW", "AWND"]
-ELEMENTS_WITH_DEPTH = ["SNOW", "SNWD", "PRCP", "TMAX", "TMIN", "TAVG"]
-ELEMENTS_WITH_READING_TIME = ["PRCP", "TMAX", "TMIN", "TOBS", "SNOW", "SNWD"]
-SNOW_ELEMENTS = ["SNOW", "SNWD"]
-SNOWLESS_STATES = ["HI", "PR"]
 
 # A (station, element) pair is kept when it reports on more days than this.
 MIN_REPORTED_DAYS = 350

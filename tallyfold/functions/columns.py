@@ -104,3 +104,8 @@ def surrogate_id(*columns: ColumnOrName) -> Column:
     for column in columns:
         parts += [as_column(column).isNull(), F.coalesce(as_column(column).cast("string"), F.lit(""))]
     return F.xxhash64(*parts)
+
+
+def number_or_null(name: str) -> Column:
+    """The column with NaN as null."""
+    return F.when(~F.isnan(F.col(name).cast("double")), F.col(name))

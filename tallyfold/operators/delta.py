@@ -25,7 +25,9 @@ def delete_rows(fact: DataFrame, deletes: DataFrame) -> DataFrame:
     return join_null_safe(fact, deletes.select(*fact.columns), fact.columns, "left_anti")
 
 
-def one_per_key(delta: DataFrame, keys: Sequence[str] = KEYS, order: str | None = None) -> DataFrame:
+def one_per_key(
+    delta: DataFrame, keys: Sequence[str] = KEYS, order: str | None = None, what: str = "delta"
+) -> DataFrame:
     """Delta with one row per key. Identical rows collapse.
 
     Rows of one key that differ fail the job, unless ``order`` names a column whose highest value wins.
@@ -46,7 +48,7 @@ def one_per_key(delta: DataFrame, keys: Sequence[str] = KEYS, order: str | None
         none_null = F.col(f"_count_{c}") == F.col("_rows")
         same = same & (all_null | (none_null & (F.col(c) == F.col(f"_max_{c}"))))
     checked = F.when(same, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("delta has different rows for key "), shown)).cast("boolean")
+        F.raise_error(F.concat(F.lit(f"{what} has different rows for key "), shown)).cast("boolean")
     )
     return grouped.where(checked).select(*keys, *others)
 

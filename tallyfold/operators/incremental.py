@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.operators.delta import one_per_key
 from tallyfold.operators.joins import join_null_safe, split_matched
 from tallyfold.operators.latest import snapshot as merge_snapshot
 from tallyfold.operators.timeseries import daily_increments, month_of
@@ -43,28 +44,44 @@ def drop_loaded(recent: DataFrame, snapshot: DataFrame) -> DataFrame:
     return rows.where(F.col("_last").isNull() | (F.col("date") > F.col("_last"))).drop("_last")
 
 
+def unique_days(rows: DataFrame) -> DataFrame:
+    """One row per location and day: a day delivered again with the same counts counts once, with
+    others it fails the job."""
+    return one_per_key(rows.select(*SNAPSHOT_COLUMNS), ["location_id", "date"], what="batch").select(*SNAPSHOT_COLUMNS)
+
+
+def fresh_days(known: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """The batch's days after each location's snapshot, one row per day."""
+    return unique_days(drop_loaded(known, snapshot))
+
+
+def daily_of(fresh: DataFrame, snapshot: DataFrame, first: str = "null") -> DataFrame:
+    """Increments of the fresh days; the row before a location's first is its snapshot row."""
+    series = carry_in(fresh.withColumn("_new", F.lit(True)), snapshot)
+    daily = daily_increments(series, ["location_id"], ["cases", "deaths"], first=first, block=month_of("date"))
+    return daily.where(F.col("_new")).select(*DAILY_COLUMNS)
+
+
+def next_snapshot(snapshot: DataFrame, fresh: DataFrame) -> DataFrame:
+    return merge_snapshot(snapshot, fresh).select(*SNAPSHOT_COLUMNS)
+
+
 def load_batch(snapshot: DataFrame, batch: DataFrame, locations: DataFrame, first: str = "null") -> BatchResult:
     """New daily rows, the next snapshot and the places that matched no location.
 
     Rows already loaded go first, so the row before a location's first new day is always its
-    snapshot row. Folding any date-ordered split of a series gives what one load gives.
+    snapshot row. Folding any date-ordered split of a series gives what one load gives. The stored job
+    writes the fresh days once and derives both results from them.
     """
     known, unmatched = split_matched(attach_location_id(batch, locations), "location_id")
-    fresh = drop_loaded(known, snapshot).select(*SNAPSHOT_COLUMNS)
-    series = carry_in(fresh.withColumn("_new", F.lit(True)), snapshot)
-    daily = daily_increments(
-        series, ["location_id"], ["cases", "deaths"], first=first, block=month_of("date")
-    )
-    return BatchResult(
-        daily.where(F.col("_new")).select(*DAILY_COLUMNS),
-        merge_snapshot(snapshot, fresh).select(*SNAPSHOT_COLUMNS),
-        unmatched,
-    )
+    fresh = fresh_days(known, snapshot)
+    return BatchResult(daily_of(fresh, snapshot, first), next_snapshot(snapshot, fresh), unmatched)
 
 
 def full_load(cumulated: DataFrame, locations: DataFrame, first: str = "zero") -> BatchResult:
     """Daily rows and snapshot of the complete cumulated table."""
     known, unmatched = split_matched(attach_location_id(cumulated, locations), "location_id")
+    # Increments check and collapse repeated days themselves; the snapshot collapses identical rows.
     daily = daily_increments(
         known, ["location_id"], ["cases", "deaths"], first=first, block=month_of("date")
     )

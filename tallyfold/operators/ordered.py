@@ -19,40 +19,66 @@ from pyspark.sql import functions as F
 _BLOCK = "_block"
 _CARRY = "_carry"
 _FIRST = Window.unboundedPreceding
+_FAN = 4096  # bounds placed at a time, a power of two
 
 
 def block_count(df: DataFrame) -> int:
-    """Blocks to cut an order into: four per shuffle partition, as a power of two, 16384 at most."""
+    """Blocks to cut an order into: four per shuffle partition, as a power of two.
+
+    The shuffle partitions are what a session sizes to its data, so a block stays what one task can
+    hold. There is no upper limit: beyond ``_FAN`` blocks the bounds are placed in levels.
+    """
     wanted = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(16, 1 << (wanted - 1).bit_length()), 1 << 14)
+    return max(16, 1 << (wanted - 1).bit_length())
 
 
 def with_value_block(df: DataFrame, column: str, blocks: int | None = None) -> DataFrame:
     """Number the rows' blocks (column ``_block``, from 0) so that blocks hold similar row counts.
 
     The bounds are quantiles of a sample chosen by hash of the whole row, about 16 values per block:
-    a bounded array, broadcast as one row. The sample only places bounds; every row stays.
+    at most ``_FAN`` of them in one array. That of the first level is broadcast as one row; where more
+    blocks are wanted, each block of a level gets an array of its own, which its rows meet in a join.
+    The sample only places bounds; every row stays.
     """
     blocks = blocks or block_count(df)
     wanted = 16 * blocks
     hashed = f"xxhash64({', '.join(df.columns)})"
     # Counting the hash keeps the columns the other readers need, so they share one shuffle.
     total = df.agg(F.expr(f"count({hashed}) AS _n"))
-    sample = df.crossJoin(F.broadcast(total)).where(
-        f"(double({hashed}) + {2.0**63!r}D) / {2.0**64!r}D * _n < {wanted}"
-    )
-    bounds = sample.agg(F.expr(f"array_sort(collect_list({column})) AS _sample")).selectExpr(
-        f"transform(sequence(1, {blocks - 1}), i -> get(_sample, int(floor(bigint(i) * size(_sample) / {blocks})))) AS _bounds"
-    )
-    # Binary search: the count of bounds below the value, one power of two at a time.
-    out = df.crossJoin(F.broadcast(bounds)).selectExpr("*", f"0 AS {_BLOCK}")
-    others = [*df.columns, "_bounds"]
+    sampled = f"(double({hashed}) + {2.0**63!r}D) / {2.0**64!r}D * _n < {wanted}"
+    level = min(blocks, _FAN)
+    bounds = df.crossJoin(F.broadcast(total)).where(sampled).agg(_collected(column)).selectExpr(_placed(level))
+    out = _counted(df.crossJoin(F.broadcast(bounds)).selectExpr("*", f"0L AS {_BLOCK}"), df.columns, column, level)
+    placed = level
+    while placed < blocks:
+        level = min(blocks // placed, _FAN)
+        rows = out.crossJoin(F.broadcast(total)).where(sampled)
+        bounds = rows.groupBy(_BLOCK).agg(_collected(column)).selectExpr(f"{_BLOCK} AS _above", _placed(level))
+        met = out.withColumnRenamed(_BLOCK, "_above").join(bounds, "_above", "left")
+        inner = _counted(met.selectExpr("*", f"0L AS {_BLOCK}"), [*df.columns, "_above"], column, level)
+        out = inner.selectExpr(*df.columns, f"_above * {level} + {_BLOCK} AS {_BLOCK}")
+        placed *= level
+    return out
+
+
+def _collected(column: str) -> Column:
+    return F.expr(f"array_sort(collect_list({column})) AS _sample")
+
+
+def _placed(blocks: int) -> str:
+    """Bounds between ``blocks`` parts of the sample."""
+    at = f"int(floor(bigint(i) * size(_sample) / {blocks}))"
+    return f"transform(sequence(1, {blocks - 1}), i -> get(_sample, {at})) AS _bounds"
+
+
+def _counted(rows: DataFrame, others: Sequence[str], column: str, blocks: int) -> DataFrame:
+    """The number of bounds below the value, by binary search, one power of two at a time."""
     step = blocks // 2
     while step:
-        below = f"get(_bounds, {_BLOCK} + {step - 1}) < {column}"
-        out = out.selectExpr(*others, f"{_BLOCK} + IF({below}, {step}, 0) AS {_BLOCK}")
+        below = f"get(_bounds, int({_BLOCK} + {step - 1})) < {column}"
+        rows = rows.selectExpr(*others, "_bounds", f"{_BLOCK} + IF({below}, {step}L, 0L) AS {_BLOCK}")
         step //= 2
-    return out.drop("_bounds")
+    return rows.drop("_bounds")
 
 
 def running_totals(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.columns import null_if, ratio
+from tallyfold.functions.columns import null_if, number_or_null, ratio
 from tallyfold.operators.joins import attach_total, join_null_safe
 from tallyfold.operators.ordered import quantiles, rank_table
 
@@ -72,9 +72,9 @@ def count_range(rows: DataFrame, keys: Sequence[str], group: Sequence[str], valu
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
-def _without_nan(rows: DataFrame, value: str) -> DataFrame:
+def _without_nan(rows: DataFrame, *values: str) -> DataFrame:
     """NaN becomes null, which every statistic skips."""
-    return rows.withColumn(value, F.when(~F.isnan(F.col(value).cast("double")), F.col(value)))
+    return rows.withColumns({value: number_or_null(value) for value in values})
 
 
 def describe(rows: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -106,7 +106,11 @@ def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def histogram(rows: DataFrame, value: str, bins: int = 10) -> DataFrame:
-    """Rows per bin of equal width between the extremes; the last bin includes its upper edge."""
+    """Rows per bin of equal width between the extremes; the last bin includes its upper edge.
+
+    Null and NaN are in no bin.
+    """
+    rows = _without_nan(rows, value)
     ends = rows.agg(F.min(value).cast("double").alias("_low"), F.max(value).cast("double").alias("_high"))
     width = (F.col("_high") - F.col("_low")) / bins
     number = F.least(
@@ -122,9 +126,13 @@ def histogram(rows: DataFrame, value: str, bins: int = 10) -> DataFrame:
 
 
 def centroid(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Mean coordinates of each group, without null and NaN."""
+    rows = _without_nan(rows, "latitude", "longitude")
     return rows.groupBy(*keys).agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
 
 
 def coordinate_range(rows: DataFrame) -> DataFrame:
+    """Extremes of the coordinates, without null and NaN."""
+    rows = _without_nan(rows, "latitude", "longitude")
     sides = [(F.min, "min"), (F.max, "max")]
     return rows.agg(*[f(c).alias(f"{n}_{c}") for c in ("latitude", "longitude") for f, n in sides])

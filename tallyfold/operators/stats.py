@@ -7,13 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.functions.columns import number_or_null
 from tallyfold.operators.joins import join_null_safe
 from tallyfold.operators.ordered import row_positions
 
 
+def _pair(rows: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
+    """Keys with both values as doubles, NaN as null, which the statistics skip."""
+    return rows.select(*keys, number_or_null(x).cast("double").alias("_x"), number_or_null(y).cast("double").alias("_y"))
+
+
 def correlation(rows: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of the pairs in which both values are present."""
-    return rows.groupBy(*keys).agg(F.corr(x, y).alias("corr"))
+    return _pair(rows, keys, x, y).groupBy(*keys).agg(F.corr("_x", "_y").alias("corr"))
 
 
 def lagged_correlation(
@@ -27,26 +33,36 @@ def lagged_correlation(
 ) -> DataFrame:
     """Correlation of ``first`` with ``second`` shifted by each lag, counted in rows.
 
-    Needs one row per (keys, order). Rows are numbered, ``second`` is sent to its shifted positions
-    and meets ``first`` by (keys, position): every pair of rows is made at most once per lag, and the
-    correlations combine before their shuffle.
+    Needs one row per (keys, order). Rows are numbered and cut into stretches as long as the lags reach.
+    A row of ``second`` goes to the two stretches at most in which it has partners and meets ``first``
+    there, so every row is shuffled three times whatever the number of lags; the correlations combine
+    before their shuffle. NaN counts as missing.
     """
-    numbered = row_positions(rows.select(*keys, order, first, second), keys, order, block)
+    low, high = min(lags), max(lags)
+    length = high - low + 1
+    numbered = row_positions(
+        rows.select(*keys, order, number_or_null(first).alias(first), number_or_null(second).alias(second)), keys, order, block
+    )
+    base = numbered.select(
+        *keys, F.floor(F.col("pos") / length).alias("_stretch"), "pos", F.col(first).cast("double").alias("_first")
+    )
+    reached = [F.floor((F.col("pos") + lag) / length) for lag in (low, high)]
     shifted = numbered.select(
         *keys,
-        F.explode(F.sequence(F.lit(lags.start), F.lit(lags.stop - 1), F.lit(lags.step))).alias("lag"),
-        (F.col("pos") + F.col("lag")).alias("pos"),
+        F.explode(F.array_distinct(F.array(*reached))).alias("_stretch"),
+        F.col("pos").alias("_from"),
         F.col(second).cast("double").alias("_second"),
     )
-    base = numbered.select(*keys, "pos", F.col(first).cast("double").alias("_first"))
-    pairs = join_null_safe(shifted, base, [*keys, "pos"])
-    return pairs.groupBy(*keys, "lag").agg(F.corr("_first", "_second").alias("corr"))
+    lag = F.col("pos") - F.col("_from")
+    wanted = lag.between(low, high) & (F.pmod(lag - lags.start, F.lit(abs(lags.step))) == 0)
+    pairs = join_null_safe(shifted, base, [*keys, "_stretch"]).withColumn("lag", lag).where(wanted)
+    return pairs.groupBy(*keys, F.col("lag").cast("int").alias("lag")).agg(F.corr("_first", "_second").alias("corr"))
 
 
 def simple_regression(rows: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
     """Least squares of y on x: coefficients, their standard errors and t values, fit."""
-    xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
-    sums = rows.groupBy(*keys).agg(
+    xd, yd = F.col("_x"), F.col("_y")
+    sums = _pair(rows, keys, x, y).groupBy(*keys).agg(
         F.regr_count(yd, xd).alias("n"),
         F.regr_slope(yd, xd).alias("slope"),
         F.regr_intercept(yd, xd).alias("intercept"),

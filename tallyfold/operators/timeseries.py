@@ -22,19 +22,27 @@ def daily_increments(
     measures: Sequence[str],
     date: str = "date",
     first: str = "zero",
-    block: Column | None = None,
+    block: Column | str | None = "month",
 ) -> DataFrame:
     """Add ``daily_<measure>`` for every cumulated measure.
 
     First row of a key: ``zero`` counts from 0, ``null`` leaves it open, ``self`` takes the row's own
-    value and does so too after a missing value. Pass ``block=month_of(date)`` where one key can
-    hold much of the table; rows per (key, date) must be unique.
+    value and does so too after a missing value. A day that a key has twice with the same counts is
+    taken once; with different counts it fails the job. A key is spread over one window per month;
+    ``block`` may be another column that does not decrease along the date, or None for one window.
     """
     if first not in FIRST_ROW_RULES:
         raise ValueError(f"first must be one of {FIRST_ROW_RULES}")
-    marker = "_seen"
-    rows = df.withColumn(marker, F.lit(True))
-    rows = previous_values(rows, keys, date, [*measures, marker], block)
+    if isinstance(block, str):
+        block = month_of(date)
+    marker, own = "_seen", "_own"
+    rows = df.withColumn(marker, F.lit(True)).withColumn(own, F.struct(date, *measures))
+    rows = previous_values(rows, keys, date, [*measures, marker, own], block)
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in [*keys, date]])
+    twice = F.col(f"{own}_previous")[date] == F.col(date)
+    conflict = F.raise_error(F.concat(F.lit("different counts on one day of "), shown)).cast("boolean")
+    kept = F.when(~F.coalesce(twice, F.lit(False)), F.lit(True)).when(F.col(own).eqNullSafe(F.col(f"{own}_previous")), F.lit(False))
+    rows = rows.where(kept.otherwise(conflict)).drop(own, f"{own}_previous")
     for name in measures:
         value, previous = F.col(name), F.col(f"{name}_previous")
         if first == "zero":
@@ -72,10 +80,12 @@ def date_slice(df: DataFrame, start: str, end: str, date: str = "date") -> DataF
 
 
 def newer_than(df: DataFrame, last: DataFrame, date: str = "date") -> DataFrame:
-    """Rows after the date in ``last`` (one row, one column); all rows while that is null."""
-    known = last.toDF("_last")
-    rows = df.crossJoin(F.broadcast(known))
-    return rows.where(F.col("_last").isNull() | (F.col(date) > F.col("_last"))).drop("_last")
+    """Rows after the date in ``last`` (one row, one column); all rows while that is null.
+
+    The one value is read first, so that the comparison prunes directories and row groups.
+    """
+    value = last.first()[0]
+    return df if value is None else df.where(F.col(date) > F.lit(value))
 
 
 def last_loaded(fact: DataFrame, date: str = "date") -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold import schemas
-from tallyfold.operators.incremental import full_load, load_batch
+from tallyfold.operators.incremental import attach_location_id, daily_of, fresh_days, full_load, next_snapshot
+from tallyfold.operators.joins import split_matched
+from tallyfold.session import staging
 from tallyfold.sinks.files import read_version, write_version
 
 DAILY_SCHEMA = T.StructType([*schemas.CASES_DAILY, T.StructField("batch", T.LongType())])
@@ -40,10 +42,12 @@ def next_batch(
     snapshot = read_version(spark, snapshot_path, schemas.CASES_SNAPSHOT, before=number)
     if snapshot is None:
         raise ValueError(f"no finished snapshot before batch {number} in {snapshot_path}")
-    result = load_batch(snapshot, batch, locations)
-    _write_daily(result.daily, daily_path, number)
-    write_version(result.snapshot, snapshot_path, number)
-    return result.unmatched
+    known, unmatched = split_matched(attach_location_id(batch, locations), "location_id")
+    with staging(spark) as stage:
+        fresh = stage(fresh_days(known, snapshot), "fresh-days")
+        _write_daily(daily_of(fresh, snapshot), daily_path, number)
+        write_version(next_snapshot(snapshot, fresh), snapshot_path, number)
+    return unmatched
 
 
 def read_daily(spark: SparkSession, daily_path: str) -> DataFrame:

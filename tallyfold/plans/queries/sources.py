@@ -286,12 +286,12 @@ def b4_csv_per_element(spark, sf):
 @query(
     "b6_append",
     "B6 A10",
-    "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'",
+    "SELECT o_orderkey, o_orderstatus FROM orders",
 )
 def b6_append(spark, sf):
     path = scratch_path(spark, "appended")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         sinks.append(orders.where(F.col("o_orderstatus") == status), path)
     return files.read_parquet(spark, path)
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyfold.fixed_values import ELEMENTS, MAINLAND_FIRST_PREFIXES, TERRITORY_PREFIXES
+from tallyfold.fixed_values import ELEMENTS, TERRITORY_PREFIXES, UNINCORPORATED_FIRST_PREFIXES
 from tallyfold.functions import columns as fx
 from tallyfold.operators import delta, joins, latest, quality, report, reshape
 from tallyfold.operators.nearest import clear_mapping
 from tallyfold.plans.registry import query
-from tallyfold.plans.standins import iso_day, observations, table, with_sql
+from tallyfold.plans.standins import ELEMENT_OF_TYPE, iso_day, observations, table, with_sql
 
 OUT = "event_id, station_id, CAST(date AS VARCHAR) AS date, measured, value"
 # A pair counts as reporting almost daily from here on; the month of events has 30 days.
@@ -40,10 +40,10 @@ def c6_territory_prefixes(spark, sf):
 @query(
     "c7_prefix_list",
     "C7 J4",
-    with_sql("observations", f"SELECT {OUT} FROM observations WHERE left(station_id, 2) IN ('US','CQ','GQ','RQ','VQ')"),
+    with_sql("observations", f"SELECT {OUT} FROM observations WHERE left(station_id, 2) IN ('RQ','VQ','CQ','AQ','US')"),
 )
 def c7_prefix_list(spark, sf):
-    return _show(observations(spark, sf).where(fx.prefix_in("station_id", MAINLAND_FIRST_PREFIXES)))
+    return _show(observations(spark, sf).where(fx.prefix_in("station_id", UNINCORPORATED_FIRST_PREFIXES)))
 
 
 @query(
@@ -182,7 +182,7 @@ def d3_two_key_join(spark, sf):
         """SELECT s.state, CAST(s.date AS VARCHAR) AS date, s.cases, w.element, round(w.value, 4) AS value
 FROM (SELECT n_name AS state, CAST(ts AS DATE) AS date, count(*) AS cases
       FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
-      WHERE event_type = 'purchase' GROUP BY ALL) s
+      GROUP BY ALL) s
 LEFT JOIN (SELECT n_name AS state, date, measured AS element, avg(value) AS value
            FROM observations JOIN nation ON CAST(right(station_id, 9) AS INT) = n_nationkey
            WHERE quality_flag IS NULL GROUP BY ALL) w ON w.state = s.state AND w.date = s.date""",
@@ -193,7 +193,6 @@ def d17_cases_with_weather(spark, sf):
     buyers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     cases = (
         table(spark, sf, "events")
-        .where(F.col("event_type") == "purchase")
         .join(buyers, F.col("user_id") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("state", F.col("ts").cast("date").alias("date"))
@@ -392,13 +391,12 @@ def f6_first_element(spark, sf):
     "H3",
     with_sql(
         "observations",
-        """SELECT station_id, value, 'TMIN' AS element FROM observations WHERE measured = 'TMIN'
-UNION ALL SELECT station_id, value, 'SNOW' FROM observations WHERE measured = 'SNOW'""",
+        "SELECT station_id, value, measured AS element FROM observations",
     ),
 )
 def h3_stack_sources(spark, sf):
     rows = observations(spark, sf)
-    frames = {e: rows.where(F.col("measured") == e).select("station_id", "value") for e in ("TMIN", "SNOW")}
+    frames = {e: rows.where(F.col("measured") == e).select("station_id", "value") for e in ELEMENT_OF_TYPE.values()}
     return reshape.stack_sources(frames)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold import schemas
@@ -12,15 +12,16 @@ from tallyfold.fixed_values import ELEMENTS, MAX_DISTANCE, MIN_REPORTED_DAYS, TE
 from tallyfold.functions.columns import has_prefix
 from tallyfold.operators import reshape
 from tallyfold.operators.delta import KEYS, ORDERS, apply_delta, relevant
-from tallyfold.operators.joins import keep_known
+from tallyfold.operators.joins import join_null_safe, keep_known
 from tallyfold.operators.latest import lowest_colocated
 from tallyfold.operators.nearest import nearest_per_element
 from tallyfold.operators.quality import passed_quality, significant_pairs
-from tallyfold.session import drop_path, staging
-from tallyfold.sinks.files import write_partitioned
+from tallyfold.session import drop_path, partition_name, path_exists, staging
+from tallyfold.sinks.files import replace_partitions, write_csv, write_partitioned
 from tallyfold.sources.files import read_parquet, read_weather
 
 FACT_PARTITIONS = ("measured", "month")
+_TOUCHED_SCHEMA = schemas.columns("measured string, month string")
 FACT_SCHEMA = schemas.columns(
     "station_id string, date string, value int, measured string, month string"
 )
@@ -86,14 +87,42 @@ def clean_deltas(deltas: dict[str, DataFrame], selected: DataFrame) -> dict[str,
     }
 
 
+def _pending(path: str) -> str:
+    return path.rstrip("/") + ".pending"
+
+
+def _publish(spark: SparkSession, path: str, touched: list[tuple[str | None, str | None]]) -> None:
+    """Put the pending partitions in place of the stored ones and drop those left without rows."""
+    result = spark.read.schema(FACT_SCHEMA).parquet(f"{_pending(path)}/rows")
+    written = {(row.measured, row.month) for row in result.select(*FACT_PARTITIONS).distinct().collect()}
+    replace_partitions(result, path, FACT_PARTITIONS)
+    for values in touched:
+        if values not in written:
+            drop_path(spark, "/".join([path, *(partition_name(spark, c, v) for c, v in zip(FACT_PARTITIONS, values))]))
+    drop_path(spark, _pending(path))
+
+
+def recover_fact(spark: SparkSession, path: str) -> None:
+    """Finish a replacement that was cut off, or drop one that had not begun to replace anything."""
+    pending = _pending(path)
+    if path_exists(spark, f"{pending}/touched/_SUCCESS"):
+        touched = spark.read.schema(_TOUCHED_SCHEMA).parquet(f"{pending}/touched").collect()
+        _publish(spark, path, [(row.measured, row.month) for row in touched])
+    else:
+        drop_path(spark, pending)
+
+
 def apply_deltas_to_path(
     spark: SparkSession, path: str, deltas: dict[str, DataFrame], order: Sequence[str] = ORDERS[0]
 ) -> None:
     """Apply deltas to the stored fact, reading and rewriting only the partitions they touch.
 
-    The result is staged in the shared folder before anything is replaced; applying the same deltas
-    again gives the same fact, so a run that was cut off is simply repeated.
+    The new partitions are written beside the fact and stay there until they are in place: a run that
+    was cut off while replacing is finished by the next one (or by :func:`recover_fact`) before
+    anything else. Applying the same deltas again gives the same fact. Null dates and elements have a
+    partition like any other value.
     """
+    recover_fact(spark, path)
     columns = ["measured", "station_id", "date", "value", "month"]
     marked = reshape.stack_sources({name: with_month(rows).select(*columns) for name, rows in deltas.items()}, "op")
     with staging(spark) as stage:
@@ -101,19 +130,30 @@ def apply_deltas_to_path(
         rows = stage(marked, "delta-rows")
         parts = {name: rows.where(F.col("op") == name).drop("op") for name in deltas}
         # Partition names, not data: they prune the scan to the directories the deltas touch.
-        touched = rows.select(*FACT_PARTITIONS).distinct()
+        touched = stage(rows.select(*FACT_PARTITIONS).distinct(), "touched")
         names = [(row.measured, row.month) for row in touched.collect()]
-        affected = (
-            read_fact(spark, path)
-            .where(F.col("measured").isin({m for m, _ in names}) & F.col("month").isin({m for _, m in names}))
-            .join(touched, list(FACT_PARTITIONS), "left_semi")
-            .select(*columns)
-        )
+        stored = read_fact(spark, path)
+        for column, values in zip(FACT_PARTITIONS, zip(*names)):
+            stored = stored.where(_one_of(column, set(values)))
+        affected = join_null_safe(stored, touched, list(FACT_PARTITIONS), "left_semi").select(*columns)
         result = apply_delta(affected, parts["delete"], parts["insert"], parts["update"], order, (*KEYS, "month"))
-        result = stage(result.hint("rebalance", *FACT_PARTITIONS), "fact-partitions")
-        written = {(row.measured, row.month) for row in result.select(*FACT_PARTITIONS).distinct().collect()}
-        write_partitioned(result, path, FACT_PARTITIONS)
-    # A partition left without rows is not written, hence not replaced: drop its directory.
-    for measured, month in names:
-        if (measured, month) not in written:
-            drop_path(spark, f"{path}/measured={measured}/month={month}")
+        result.hint("rebalance", *FACT_PARTITIONS).write.parquet(f"{_pending(path)}/rows")
+        touched.write.parquet(f"{_pending(path)}/touched")  # last: from here on the replacement counts
+    _publish(spark, path, names)
+
+
+def _one_of(column: str, values: set[str | None]) -> Column:
+    listed = F.col(column).isin([v for v in values if v is not None])
+    return listed | F.col(column).isNull() if None in values else listed
+
+
+def cases_with_weather(cases: DataFrame, weather: DataFrame, place: Sequence[str]) -> DataFrame:
+    """Every case row once per element, beside the element's observations of its place and day."""
+    elements = weather.select("element").distinct()
+    each = cases.join(elements)  # one row per element, a handful
+    return join_null_safe(each, weather, [*place, "date", "element"], "left")
+
+
+def publish_cases_with_weather(cases: DataFrame, weather: DataFrame, place: Sequence[str], target: str) -> None:
+    """One directory of CSV files per element."""
+    write_csv(cases_with_weather(cases, weather, place), target, ["element"])

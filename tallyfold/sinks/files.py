@@ -9,20 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
-    """Parquet by partition columns; ``overwrite`` replaces the partitions written, no others."""
-    (
-        df.hint("rebalance", *by)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+def _write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str, replaced: str) -> None:
+    writer = df.hint("rebalance", *by).write.mode(mode).option("partitionOverwriteMode", replaced)
+    writer.partitionBy(*by).parquet(path)
+
+
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Parquet by partition columns, in place of the whole data set that was there."""
+    _write_partitioned(df, path, by, "overwrite", "static")
+
+
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Parquet by partition columns, in place of the partitions that are written; others stay."""
+    _write_partitioned(df, path, by, "overwrite", "dynamic")
 
 
 def write_new_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """As above, but fails when the data set exists."""
-    write_partitioned(df, path, by, mode="errorifexists")
+    _write_partitioned(df, path, by, "errorifexists", "static")
 
 
 def write_flat(df: DataFrame, path: str) -> None:
@@ -42,7 +46,8 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*by).parquet(path)
+    """Add rows; those of one partition value are brought together first."""
+    df.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
@@ -60,6 +65,12 @@ def current_version(spark: SparkSession, path: str, before: int | None = None) -
     return max((v for v in versions if before is None or v < before), default=None)
 
 
+def mark_version(spark: SparkSession, path: str, version: int) -> None:
+    """Note that a version is done, without rows."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version={version:010d}/_SUCCESS")
+    mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(mark, True).close()
+
+
 def read_version(
     spark: SparkSession, path: str, schema: StructType, before: int | None = None
 ) -> DataFrame | None:

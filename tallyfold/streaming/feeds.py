@@ -1,7 +1,9 @@
 """The batch jobs driven by files that arrive.
 
 Files come in numbered directories, ``seq=<n>/...``; a directory is complete when it becomes visible
-(written elsewhere, then renamed). Replaying a batch writes the same tables again.
+(written elsewhere, then renamed). Replaying a batch writes the same tables again. The last number
+applied is kept beside the checkpoint: a directory with a smaller number comes too late, since what
+follows it is in place already, and is refused.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyfold import schemas
 from tallyfold.plans.cases import next_batch
 from tallyfold.plans.weather import apply_deltas_to_path, clean_deltas
+from tallyfold.sinks.files import current_version, mark_version
 from tallyfold.sources.files import DELTA_OPERATIONS
 
 DELTA_STREAM_SCHEMA = T.StructType([*schemas.WEATHER_RAW, *schemas.columns("seq int, op string")])
@@ -26,13 +29,18 @@ def _run(
     files: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
     """Hand the rows of each numbered directory to ``handle``, in order, until none is left."""
+    applied = checkpoint.rstrip("/") + ".applied"
 
     def each(batch: DataFrame, _: int) -> None:
         batch.persist()
         try:
             # One number per directory that arrived, not data.
             for row in batch.select("seq").distinct().orderBy("seq").collect():
+                last = current_version(batch.sparkSession, applied)
+                if last is not None and row.seq < last:
+                    raise ValueError(f"directory seq={row.seq} came after seq={last} was applied")
                 handle(batch.where(F.col("seq") == row.seq).drop("seq"), row.seq)
+                mark_version(batch.sparkSession, applied, row.seq)
         finally:
             batch.unpersist()
 

@@ -139,8 +139,11 @@ def test_write_modes(spark):
     sinks.write_new_partitioned(frame, path, ["k"])
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         sinks.write_new_partitioned(frame, path, ["k"])
-    sinks.write_partitioned(spark.createDataFrame([("b", 9)], "k string, v int"), path, ["k"])
+    fewer = spark.createDataFrame([("b", 9)], "k string, v int")
+    sinks.replace_partitions(fewer, path, ["k"])
     assert sorted((r.k, r.v) for r in files.read_parquet(spark, path).collect()) == [("a", 1), ("b", 9)]
+    sinks.write_partitioned(fewer, path, ["k"])
+    assert [(r.k, r.v) for r in files.read_parquet(spark, path).collect()] == [("b", 9)]
 
 
 def test_unfinished_version_is_not_current(spark):
