@@ -325,7 +325,7 @@ def _named(daily, locations):
 
 @query(
     "k3_batch_increments",
-    "K3 K5",
+    "K3",
     with_sql("cumulated nation_locations", f"{_NEW_DAYS} AND date <= DATE '{FIRST_TO}'", _KNOWN),
 )
 def k3_batch_increments(spark, sf):

@@ -190,7 +190,7 @@ def g6_resolve_locations(spark, sf):
 
 @query(
     "c11_with_coordinates",
-    "C11 H1 H2",
+    "C11",
     with_sql(
         "sites",
         "SELECT state, county, fips, latitude, longitude FROM resolved WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
@@ -375,3 +375,24 @@ def d2_state_abbreviation(spark, sf):
     )
     states = table(spark, sf, "nation").withColumn("state", F.col("n_regionkey").cast("string"))
     return joins.join_on(states, short, [("state", "name")]).select("n_name", "abbreviation")
+
+
+@query(
+    "e20_centroid_nan",
+    "E20 E22",
+    with_sql(
+        "sites",
+        """SELECT nation, round(avg(latitude), 6) AS latitude, round(avg(longitude) FILTER (location_id % 3 <> 0), 6) AS longitude,
+       round(min(min(longitude) FILTER (location_id % 3 <> 0)) OVER (), 6) AS least
+FROM sites GROUP BY 1""",
+    ),
+)
+def e20_centroid_nan(spark, sf):
+    """Every third longitude is NaN."""
+    longitude = F.when(F.col("location_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("longitude"))
+    rows = sites(spark, sf).withColumn("longitude", longitude)
+    ends = report.coordinate_range(rows).select(F.round("min_longitude", 6).alias("least"))
+    means = report.centroid(rows, ["nation"])
+    return means.crossJoin(F.broadcast(ends)).select(
+        "nation", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), "least"
+    )

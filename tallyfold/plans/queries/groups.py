@@ -94,11 +94,14 @@ def e17_group_counts(spark, sf):
 @query(
     "e18_reconciles",
     "E18",
-    f"{_WITH}SELECT count(*) AS grouped, count(*) AS lines, true AS agrees FROM lines",
+    f"""{_WITH}SELECT grouped, n AS lines, grouped = n AS agrees FROM (SELECT count(*) AS n FROM lines),
+  (SELECT sum(c) AS grouped FROM (SELECT date, segment, priority, count(*) AS c FROM lines WHERE segment <> 'BUILDING' GROUP BY ALL))""",
 )
 def e18_reconciles(spark, sf):
+    """One segment's groups are missing, which the check has to show."""
     lines = _lines(spark, sf)
-    return quality.reconciles(star.group_counts(lines, ["date", *_LABELS]), lines)
+    counted = star.group_counts(lines, ["date", *_LABELS]).where(F.col("segment") != "BUILDING")
+    return quality.reconciles(counted, lines)
 
 
 @query(

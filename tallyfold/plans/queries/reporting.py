@@ -331,3 +331,20 @@ def j3_strip_and_find(spark, sf):
 def j10_days_before(spark, sf):
     day = fx.days_before(F.col("o_orderdate").cast("date"), 4)
     return table(spark, sf, "orders").select("o_orderkey", day.cast("string").alias("start"))
+
+
+@query(
+    "e14_histogram_nan",
+    "E14",
+    """SELECT CAST(least(floor((q - lo) / ((hi - lo) / 10)), 9) AS INT) AS bin, count(*) AS count,
+       round(any_value(lo) + (any_value(hi) - any_value(lo)) / 10 * least(floor((q - lo) / ((hi - lo) / 10)), 9), 6) AS lower_edge
+FROM (SELECT l_quantity AS q FROM lineitem WHERE l_linenumber <> 3 AND l_linenumber <> 5),
+     (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem WHERE l_linenumber <> 3 AND l_linenumber <> 5)
+GROUP BY least(floor((q - lo) / ((hi - lo) / 10)), 9)""",
+)
+def e14_histogram_nan(spark, sf):
+    """Every third line of an order is NaN, every fifth null."""
+    number = F.col("l_linenumber")
+    value = F.when(number == 3, F.lit(float("nan"))).when(number != 5, F.col("l_quantity").cast("double"))
+    rows = report.histogram(table(spark, sf, "lineitem").select(value.alias("q")), "q", 10)
+    return rows.select("bin", F.round("lower_edge", 6).alias("lower_edge"), "count")

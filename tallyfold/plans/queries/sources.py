@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyfold import schemas
 from tallyfold.fixed_values import UNKNOWN_ELEVATION
 from tallyfold.functions import columns as fx
-from tallyfold.operators import locations, star
+from tallyfold.operators import locations, quality, star, timeseries
 from tallyfold.plans import cases as case_jobs
 from tallyfold.plans import weather as weather_jobs
 from tallyfold.plans.queries.cases import (
@@ -25,7 +25,7 @@ from tallyfold.plans.queries.cases import (
 )
 from tallyfold.plans.queries.weather import _ROLES, _roles, _without
 from tallyfold.plans.registry import query
-from tallyfold.plans.standins import iso_day, cumulated, nation_locations, observations, table, with_sql
+from tallyfold.plans.standins import cumulated, iso_day, nation_locations, observations, table, with_sql
 from tallyfold.session import scratch_path, staged
 from tallyfold.sinks import files as sinks
 from tallyfold.sources import files, text
@@ -90,7 +90,7 @@ def a7_parse_by_token(spark, sf):
 
 @query(
     "a8_parse_gazetteer",
-    "A8 J2 J5 J14 N2",
+    "A8 J2 J14 N2",
     """SELECT 'S' || CAST(c_nationkey AS VARCHAR) AS state,
        CASE c_mktsegment WHEN 'BUILDING' THEN 'Kent County' WHEN 'HOUSEHOLD' THEN 'Isle of Wight County' ELSE c_mktsegment END AS county,
        lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS fips,
@@ -436,7 +436,7 @@ def a16_distinct_locations(spark, sf):
 
 @query(
     "c3_generated_casts",
-    "C3 C4 J5",
+    "C3 C4",
     """SELECT o_orderkey, CAST(round(o_totalprice) AS INT) AS whole, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price,
        CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders""",
 )
@@ -492,3 +492,107 @@ def c25_parameterised_query(spark, sf):
         full=rows,
         selected=chosen,
     )
+
+
+@query(
+    "k8_null_dates",
+    "K8 B1",
+    """SELECT measured, station_id, CAST(date AS VARCHAR) AS date, CASE WHEN n % 15 = 0 THEN value + 1 ELSE value END AS value
+FROM (SELECT event_id AS n, event_type AS measured, 'S' || CAST(event_id AS VARCHAR) AS station_id,
+             CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y%m%d') END AS date, CAST(event_id % 1000 AS INT) AS value FROM events)
+WHERE NOT (n % 3 = 1 AND n % 11 = 0)""",
+)
+def k8_null_dates(spark, sf):
+    """Two deliveries on a stored fact in which one row in seven has no date."""
+    events = table(spark, sf, "events")
+    rows = events.select(
+        F.col("event_id").alias("n"),
+        F.col("event_type").alias("measured"),
+        F.concat(F.lit("S"), F.col("event_id").cast("string")).alias("station_id"),
+        F.when(F.col("event_id") % 7 != 0, F.date_format("ts", "yyyyMMdd")).alias("date"),
+        (F.col("event_id") % 1000).cast("int").alias("value"),
+    )
+    third = F.col("n") % 3
+
+    def part(condition):
+        return rows.where(condition).select(*_FACT_COLUMNS)
+
+    path = scratch_path(spark, "fact")
+    weather_jobs.write_fact(part(third != 2), path)
+    none = files.empty_like(spark, part(third == 2))
+    first = {"delete": part((third == 1) & (F.col("n") % 11 == 0)), "insert": part((third == 2) & (F.col("n") % 2 == 0)), "update": none}
+    raised = rows.where((third == 0) & (F.col("n") % 5 == 0)).withColumn("value", F.col("value") + 1).select(*_FACT_COLUMNS)
+    second = {"delete": none, "insert": part((third == 2) & (F.col("n") % 2 != 0)), "update": raised}
+    for deltas in (first, second):
+        weather_jobs.apply_deltas_to_path(spark, path, deltas)
+    return weather_jobs.read_fact(spark, path).select(*_FACT_COLUMNS)
+
+
+@query(
+    "b1_overwrite",
+    "B1",
+    "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'",
+)
+def b1_overwrite(spark, sf):
+    """A second write with fewer partitions leaves none of the first."""
+    path = scratch_path(spark, "overwritten")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    sinks.write_partitioned(orders, path, ["o_orderstatus"])
+    sinks.write_partitioned(orders.where(F.col("o_orderstatus") != "P"), path, ["o_orderstatus"])
+    return files.read_parquet(spark, path, schemas.columns("o_orderkey bigint, o_orderstatus string"))
+
+
+@query(
+    "a4_json_array",
+    "A4",
+    "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
+)
+def a4_json_array(spark, sf):
+    """One array of records over one file per nation."""
+    path = scratch_path(spark, "array-json")
+    columns = ["c_custkey", "c_mktsegment", "c_acctbal"]
+    arrays = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value"))
+    arrays.write.partitionBy("c_nationkey").text(path)
+    read = files.read_json_array(spark, path, schemas.columns("c_custkey bigint, c_mktsegment string, c_acctbal double"))
+    return read.select(*columns)
+
+
+@query(
+    "a5_record_page",
+    "A5 L10",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey DESC LIMIT 1000",
+)
+def a5_record_page(spark, sf):
+    """The newest page of records, as an interface hands it over in memory, checked for rows."""
+    schema = schemas.columns("o_orderkey bigint, o_custkey bigint, o_totalprice double")
+    page = table(spark, sf, "orders").select(*schema.names).orderBy(F.desc("o_orderkey")).limit(1000)
+    records = [row.asDict() for row in page.collect()]
+    return quality.require_rows(files.rows_frame(spark, records, schema), "empty page")
+
+
+@query(
+    "k5_append_daily",
+    "K5 B6",
+    with_sql("cumulated", _DAILY.format(cases="cases - lag(cases, 1, 0) OVER w", deaths="deaths - lag(deaths, 1, 0) OVER w")),
+)
+def k5_append_daily(spark, sf):
+    """Daily rows appended to a stored table in two loads."""
+    daily = staged(
+        timeseries.daily_increments(cumulated(spark, sf), PLACE, ["cases", "deaths"]).select(*PLACE, "date", "daily_cases", "daily_deaths"),
+        "daily",
+    )
+    path, cut = scratch_path(spark, "appended-daily"), F.lit(LOADED_TO).cast("date")
+    sinks.append(daily.where(F.col("date") <= cut), path)
+    sinks.append(daily.where(F.col("date") > cut), path)
+    return files.read_parquet(spark, path).select(*PLACE, iso_day(), "daily_cases", "daily_deaths")
+
+
+@query(
+    "j5_map_element",
+    "J5",
+    "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events",
+)
+def j5_map_element(spark, sf):
+    """One entry of a map column."""
+    entries = F.from_json("props", "map<string,string>")
+    return table(spark, sf, "events").select("event_id", entries["k"].try_cast("int").alias("k"))

@@ -115,3 +115,38 @@ def m3_simple_regression(spark, sf):
 def m3_regression_lines(spark, sf):
     rows = stats.simple_regression(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", ["l_returnflag"])
     return _fit(rows, ["l_returnflag"])
+
+
+_WITH_GAPS = """SELECT l_returnflag, l_quantity AS q, l_extendedprice AS p FROM lineitem
+WHERE l_linenumber <> 2 AND l_linenumber <> 4"""
+
+
+def _with_gaps(spark, sf):
+    """Second lines of an order have a NaN quantity, fourth ones a NaN price."""
+    number, nan = F.col("l_linenumber"), F.lit(float("nan"))
+    return table(spark, sf, "lineitem").select(
+        "l_returnflag",
+        F.when(number == 2, nan).otherwise(F.col("l_quantity").cast("double")).alias("q"),
+        F.when(number == 4, nan).otherwise(F.col("l_extendedprice").cast("double")).alias("p"),
+    )
+
+
+@query(
+    "m1_correlation_nan",
+    "M1",
+    f"SELECT l_returnflag, round(corr(q, p), 8) AS corr FROM ({_WITH_GAPS}) GROUP BY 1",
+)
+def m1_correlation_nan(spark, sf):
+    rows = stats.correlation(_with_gaps(spark, sf), "q", "p", ["l_returnflag"])
+    return rows.select("l_returnflag", F.round("corr", 8).alias("corr"))
+
+
+@query(
+    "m3_regression_nan",
+    "M3",
+    f"""SELECT l_returnflag, regr_count(p, q) AS n, round(regr_slope(p, q), 4) AS slope, round(regr_r2(p, q), 8) AS r2
+FROM ({_WITH_GAPS}) GROUP BY 1""",
+)
+def m3_regression_nan(spark, sf):
+    rows = stats.simple_regression(_with_gaps(spark, sf), "q", "p", ["l_returnflag"])
+    return rows.select("l_returnflag", "n", F.round("slope", 4).alias("slope"), F.round("r2", 8).alias("r2"))

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyfold import schemas
 from tallyfold.fixed_values import ELEMENTS, TERRITORY_PREFIXES, UNINCORPORATED_FIRST_PREFIXES
 from tallyfold.functions import columns as fx
 from tallyfold.operators import delta, joins, latest, quality, report, reshape
 from tallyfold.operators.nearest import clear_mapping
 from tallyfold.plans.registry import query
 from tallyfold.plans.standins import ELEMENT_OF_TYPE, iso_day, observations, table, with_sql
+from tallyfold.plans.weather import publish_cases_with_weather
+from tallyfold.session import scratch_path
+from tallyfold.sources.files import read_csv
 
 OUT = "event_id, station_id, CAST(date AS VARCHAR) AS date, measured, value"
 # A pair counts as reporting almost daily from here on; the month of events has 30 days.
@@ -189,6 +193,35 @@ LEFT JOIN (SELECT n_name AS state, date, measured AS element, avg(value) AS valu
     ),
 )
 def d17_cases_with_weather(spark, sf):
+    cases, weather = _cases_and_weather(spark, sf)
+    rows = reshape.attach_observations(cases, weather, ["state"])
+    return rows.select("state", iso_day(), "cases", "element", F.round("value", 4).alias("value"))
+
+
+@query(
+    "d17_stored_per_element",
+    "D17 D18 B4",
+    with_sql(
+        "observations",
+        """SELECT s.state, CAST(s.date AS VARCHAR) AS date, s.cases, e.element, round(w.value, 4) AS value
+FROM (SELECT n_name AS state, CAST(ts AS DATE) AS date, count(*) AS cases
+      FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL) s
+CROSS JOIN (SELECT DISTINCT measured AS element FROM observations WHERE quality_flag IS NULL) e
+LEFT JOIN (SELECT n_name AS state, date, measured AS element, avg(value) AS value
+           FROM observations JOIN nation ON CAST(right(station_id, 9) AS INT) = n_nationkey
+           WHERE quality_flag IS NULL GROUP BY ALL) w ON w.state = s.state AND w.date = s.date AND w.element = e.element""",
+    ),
+)
+def d17_stored_per_element(spark, sf):
+    cases, weather = _cases_and_weather(spark, sf)
+    path = scratch_path(spark, "cases-with-weather")
+    publish_cases_with_weather(cases, weather, ["state"], path)
+    schema = schemas.columns("state string, date date, cases bigint, value double, element string")
+    rows = read_csv(spark, path, schema)
+    return rows.select("state", iso_day(), "cases", "element", F.round("value", 4).alias("value"))
+
+
+def _cases_and_weather(spark, sf):
     nations = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("state"))
     buyers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     cases = (
@@ -206,8 +239,7 @@ def d17_cases_with_weather(spark, sf):
         .groupBy("state", "date", F.col("measured").alias("element"))
         .agg(F.avg("value").alias("value"))
     )
-    rows = reshape.attach_observations(cases, weather, ["state"])
-    return rows.select("state", iso_day(), "cases", "element", F.round("value", 4).alias("value"))
+    return cases, weather
 
 
 @query(

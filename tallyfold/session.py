@@ -52,8 +52,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "tallyfold", f"{name}-{uuid.uuid4().hex}")
 
 
+#: Shuffle files of a finished query go at once, not when the driver happens to collect its garbage.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_DROP_SHUFFLES, "false")
+    conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_DROP_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -70,6 +80,17 @@ def drop_path(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def partition_name(spark: SparkSession, column: str, value: str | None) -> str:
+    """Directory name of a partition value as Spark writes it: escaped, null under its own name."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return names.getPartitionPathString(column, value)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Like :func:`staged` for the length of a job; its tables are dropped at the end."""
