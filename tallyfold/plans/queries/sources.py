@@ -190,7 +190,7 @@ def a3_surveillance_csv(spark, sf):
 
 @query(
     "a4_json_groups",
-    "A4 B8 E6",
+    "B8 E6",
     """SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS count FROM events GROUP BY ALL""",
 )
 def a4_json_groups(spark, sf):

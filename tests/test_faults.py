@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators import incremental, nearest, ordered, report, stats, timeseries
+from tallyfold.operators.locations import with_location_id
 from tallyfold.plans import weather
 from tallyfold.session import path_exists, scratch_path
 from tallyfold.sinks import files as sinks
@@ -181,3 +182,23 @@ def test_lags_of_any_step(spark):
             mx, my = sum(p[0] for p in pairs) / n, sum(p[1] for p in pairs) / n
             top = sum((p[0] - mx) * (p[1] - my) for p in pairs)
             assert corr == pytest.approx(top / math.sqrt(sum((p[0] - mx) ** 2 for p in pairs) * sum((p[1] - my) ** 2 for p in pairs)))
+
+
+def test_order_of_sorted_results(spark):
+    frame = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), ("c",), (None,)], "k string").repartition(4)
+    assert [(r.k, r["count"]) for r in report.value_counts(frame, ["k"]).collect()] == [("a", 2), ("c", 2), (None, 1), ("b", 1)]
+    numbers = spark.range(50).repartition(7)
+    assert [r.id for r in report.top_rows(numbers, [F.desc("id")], 4).collect()] == [49, 48, 47, 46]
+    sizes = report.group_summary(spark.createDataFrame([(1, 1.0), (2, 2.0), (2, 3.0)], "k int, v double").repartition(3), "v", ["k"])
+    assert [(r.k, r.len) for r in sizes.collect()] == [(2, 2), (1, 1)]
+
+
+def test_location_ids_do_not_depend_on_partitions(spark):
+    rows = [(f"S{i % 4}", f"county {i}", f"{i:05d}", float(i), float(-i)) for i in range(40)]
+    frame = spark.createDataFrame(rows, "state string, county string, fips string, latitude double, longitude double")
+    found = [
+        sorted((r.state, r.county, r.location_id) for r in with_location_id(f).collect())
+        for f in (frame, frame.repartition(7), frame.orderBy(F.desc("fips")))
+    ]
+    assert found[0] == found[1] == found[2]
+    assert len({i for _, _, i in found[0]}) == 40
