@@ -37,6 +37,24 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+SQL["op4_benchmark_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(13, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+bw AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS s
+       FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b WHERE n > 0)),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, n, item FROM dw JOIN bw USING (n, s)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 @_register
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -1,7 +1,10 @@
 import re
 from collections import Counter, defaultdict
 
+from compare import connect, differences
+
 from tallyfold.llm import decontaminate
+from tallyfold.llm.queries import QUERIES, SQL
 
 from .samples import LOWER, awkward_rows, nothing, SCHEMA
 
@@ -76,3 +79,8 @@ def test_empty_tables(spark):
     rows = decontaminate.contamination(docs, items.where("false")).collect()
     assert len(rows) == 5 and not any(r.n_hit or r.contaminated for r in rows)
     assert decontaminate.remove_contaminated(docs, items.where("false")).count() == 5
+
+
+def test_query_matches_sql(spark):
+    name, tables = "op4_benchmark_decontamination", "/root/testdata/sf0.01"
+    assert differences(QUERIES[name](spark, tables), connect(tables), SQL[name]) == ""
