@@ -27,6 +27,7 @@ MOST_EXCEPTIONS = 4_096
 PREFIXES = range(3, 13)
 #: A term must be this much likelier (log odds) in toxic texts, in this share of them, and in so many.
 LEAST_WEIGHT, LEAST_SHARE, LEAST_TEXTS = 2.5, 0.002, 4
+PRIOR_TEXTS = 20
 
 # FIXED VALUES: look-alike letters of the Cyrillic, Greek and full-width alphabets, and substitutes.
 LOOKALIKES = {
@@ -104,10 +105,12 @@ def learn_terms(rows: DataFrame) -> dict[str, float]:
     )
     best = good.orderBy(F.desc(F.col("toxic") * F.col("weight")), F.length("item"), "item").limit(4 * MOST_TERMS).collect()
     terms: dict[str, float] = {}
-    for r in best:
-        shorter = [terms[r.item[:n]] for n in range(1, len(r.item)) if r.item[:n] in terms]
-        if len(terms) < MOST_TERMS and (not shorter or max(shorter) < r.weight - 0.5):
-            terms[r.item] = r.weight
+    # What few toxic texts bear out weighs less: many word beginnings pass by chance, and copies recur.
+    best = sorted(((r.item, r.weight * r.toxic / (r.toxic + PRIOR_TEXTS)) for r in best), key=lambda t: (-t[1], len(t[0]), t[0]))
+    for item, weight in best:
+        shorter = any(item[:n] in terms for n in range(1, len(item)))
+        if len(terms) < MOST_TERMS and not shorter:
+            terms[item] = weight
     return terms
 
 
