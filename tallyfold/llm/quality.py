@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import fit_logistic, utf8
+from tallyfold.session import staged
 
 #: Pieces per class that a dictionary is built from, and labelled rows that the calibration is fitted on.
 SAMPLE_PIECES = 6_000
@@ -25,9 +26,14 @@ LEVEL = 3
 SCAN_BYTES = 1 << 17
 
 
-def _sampled(rows: DataFrame, limit: int, *keys: str) -> DataFrame:
-    """The ``limit`` rows of least hash: a bounded sample that does not depend on partitions."""
-    return rows.orderBy(F.xxhash64(*keys, F.lit(7)), *keys).limit(limit)
+def _sampled(rows: DataFrame, wanted: int, *keys: str) -> DataFrame:
+    """About ``wanted`` rows, those of small hash: a bounded sample that does not depend on partitions.
+
+    Every task picks its own; nothing is sorted or gathered in one place to be cut.
+    """
+    total = rows.count()
+    place = (F.xxhash64(*keys, F.lit(7)).cast("double") + 2.0**63) / 2.0**64
+    return rows if total <= wanted else rows.where(place < wanted / total)
 
 
 def build_dictionary(pieces: list[bytes], size: int = DICTIONARY_BYTES) -> zstandard.ZstdCompressionDict:
@@ -47,7 +53,7 @@ def train_dictionaries(labelled: DataFrame) -> tuple[bytes, bytes]:
     found = []
     for value in (1, 0):
         rows = _sampled(pieces.where((F.col("label") == value) & (F.length("piece") > 0)), SAMPLE_PIECES, "key", "at")
-        found.append(build_dictionary([bytes(r.piece.encode()) for r in rows.select("piece").collect()]).as_bytes())
+        found.append(build_dictionary([r.piece.encode() for r in rows.orderBy("key", "at").select("piece").collect()]).as_bytes())
     return found[0], found[1]
 
 
@@ -91,9 +97,10 @@ def quality_scores(
     the text enters a score. Null texts score as empty ones; with no usable labels every score is one
     half. Repeated rows are scored each. Other columns are ignored.
     """
+    labelled = staged(labelled, "labelled")
     dictionaries = train_dictionaries(labelled)
-    fitted = _with_difference(_sampled(labelled, SAMPLE_ROWS, "key", "text").select(utf8("text").alias("text"), "label"), "text", dictionaries)
-    rows = fitted.toPandas()
+    sample = _sampled(labelled, SAMPLE_ROWS, "key", "text").select(utf8("text").alias("text"), "label")
+    rows = _with_difference(sample, "text", dictionaries).toPandas()
     if len(rows):
         weights = fit_logistic(rows[["difference"]].to_numpy() * 10, rows["label"].to_numpy(float))
     else:
