@@ -115,4 +115,4 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.repeated_lines(table(spark, sf_dir, "documents")).drop("text_key")
+    return linededup.linked_documents(table(spark, sf_dir, "documents")).drop("text_key")
