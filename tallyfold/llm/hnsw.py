@@ -69,7 +69,7 @@ class Graph:
         seen[rows, starts] = True
         seen[:, _NONE] = True
         nodes = np.full((len(queries), breadth), _NONE, dtype=np.int32)
-        near = np.full((len(queries), breadth), -np.inf, dtype=np.float32)
+        near = np.full((len(queries), breadth), -np.inf, dtype=np.float64)
         width = min(breadth, starts.shape[1])
         nodes[:, :width] = starts[:, :width]
         near[:, :width] = np.where(nodes[:, :width] >= 0, np.einsum("qkd,qd->qk", self.vectors[nodes[:, :width]], queries), -np.inf)
@@ -144,12 +144,16 @@ class Graph:
 
 
 def _lifted(vectors: np.ndarray) -> np.ndarray:
-    """Vectors of one length, whose products with a query extended by 0 are as before."""
+    """Vectors of one length, whose products with a query extended by 0 are as before.
+
+    In double precision: next to one long vector the products of all others lie close to 1.
+    """
+    vectors = vectors.astype(np.float64)
     squares = np.einsum("nd,nd->n", vectors, vectors, dtype=np.float64)
     top = float(squares.max(initial=0.0)) or 1.0
     last = np.sqrt(np.maximum(0.0, top - squares))
     scale = 1 / np.sqrt(top)
-    return (np.column_stack([vectors, last]) * scale).astype(np.float32)
+    return np.column_stack([vectors, last]) * scale
 
 
 def usable_vectors(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -166,7 +170,7 @@ def _build(links: int, breadth: int):
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["class_id", "class_hash"])
         vectors = np.stack(frame["vector"].to_numpy())
-        graph = Graph(_lifted(vectors.astype(np.float32)), links, breadth)
+        graph = Graph(_lifted(vectors), links, breadth)
         arrays, entry = graph.to_bytes()
         return pd.DataFrame(
             {
@@ -213,10 +217,10 @@ def _search(k: int, breadth: int):
                 queries = np.frombuffer(r.queries, dtype=np.float64).reshape(-1, r.dim)
                 ids, hashes = np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.hashes, dtype=np.int64)
                 query_ids = np.frombuffer(r.query_ids, dtype=np.int64)
-                graph = Graph.from_bytes(_lifted(vectors.astype(np.float32)), list(r.arrays), r.entry)
+                graph = Graph.from_bytes(_lifted(vectors), list(r.arrays), r.entry)
                 for at in range(0, len(queries), 512):
                     part = queries[at : at + 512]
-                    lifted = np.column_stack([part, np.zeros(len(part))]).astype(np.float32)
+                    lifted = np.column_stack([part, np.zeros(len(part))])
                     nodes, _ = graph.search(lifted, breadth)
                     nodes = nodes[:, : 2 * k]
                     scores = np.where(nodes >= 0, np.einsum("qkd,qd->qk", vectors[nodes], part), -np.inf)

@@ -73,3 +73,14 @@ def test_fewer_candidates_than_wanted(spark):
     ]
     assert hnsw.nearest(frame.where("vec_id = 0")).collect() == []
     assert hnsw.nearest(frame.where("false")).collect() == []
+
+
+def test_recall_beside_very_long_vectors(spark):
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(1000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[::250] *= np.array([1e2, 1e3, 1e4, 1e5])[:, None]
+    rows = [(i + 1, [float(np.float32(x)) for x in v]) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = by_query(hnsw.nearest(frame, k=20, every=20, shard_rows=1000))
+    assert recall(found, plain(rows, 20, 20)) >= 0.95
