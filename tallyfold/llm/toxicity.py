@@ -1,8 +1,9 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text, normalised by length.
 
 Folding undoes case, look-alike letters and digits in place of letters. The lexicon is learned: word
-beginnings that mark toxic texts, with their log odds as weights. Exception phrases are harmless
-neighbours of a term; they are longer patterns of the same automaton and so win over the term.
+beginnings that mark toxic texts, whole words if they are short, and pieces of runs in scripts without
+spaces, with their log odds as weights. Exception phrases are harmless neighbours of a term; they are
+longer patterns of the same automaton and so win over the term.
 """
 
 from __future__ import annotations
@@ -19,12 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import fit_logistic, packed
+from tallyfold.session import staged
 
 #: Bound on the labelled rows that are learned from, and on the learned terms and exceptions.
 SAMPLE_ROWS = 20_000
 MOST_TERMS = 4_096
 MOST_EXCEPTIONS = 4_096
 PREFIXES = range(3, 13)
+#: Lengths of the pieces of a run without spaces, and the sign before such a piece in the lexicon.
+PIECES, ANYWHERE = range(1, 5), "*"
 #: A term must be this much likelier (log odds) in toxic texts, in this share of them, and in so many.
 LEAST_WEIGHT, LEAST_SHARE, LEAST_TEXTS = 2.5, 0.002, 4
 PRIOR_TEXTS = 20
@@ -38,6 +42,8 @@ LOOKALIKES = {
 }
 _FOLD = {ord(k): v for k, v in LOOKALIKES.items()} | {0xFF41 + i: chr(97 + i) for i in range(26)}
 _NOT_WORD = re.compile(r"[\W_]+")
+#: Thai to Lao, Burmese, Khmer, kana, Han: written without spaces.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
 #: Marks of a text that stand for no letter: runs of one sign after a word are decoration.
 _DECORATION = re.compile(r"([$|@])\1+|(?<!\w)[$|@]|[$|@](?!\w)")
 
@@ -48,26 +54,48 @@ def fold(text: str) -> str:
     return " " + _NOT_WORD.sub(" ", text.translate(_FOLD)).strip()
 
 
+def _pieces(word: str) -> set[str]:
+    runs = [] if word.isascii() else _UNSPACED.findall(word)
+    return {ANYWHERE + run[i : i + n] for run in runs for n in PIECES for i in range(len(run) - n + 1)}
+
+
+def _terms_of(word: str) -> set[str]:
+    """What of a word can be a term: its beginnings, the word with its end if it is shorter, and pieces without spaces."""
+    whole = {word + " "} if len(word) < PREFIXES[0] else set()
+    return whole | {word[:n] for n in PREFIXES if n <= len(word)} | _pieces(word)
+
+
 def _beginnings(folded: str) -> set[str]:
-    return {word[:n] for word in set(folded.split()) for n in PREFIXES if n <= len(word)}
+    return {term for word in set(folded.split()) for term in _terms_of(word)}
 
 
 def automaton(terms: dict[str, float], exceptions: Iterable[str] = ()) -> ahocorasick.Automaton | None:
-    """Terms match at the beginning of a word; an exception phrase, being longer, is matched instead."""
+    """Terms match at the beginning of a word, pieces anywhere; an exception phrase, being longer, is matched instead."""
     if not terms:
         return None
     built = ahocorasick.Automaton()
     for term, weight in terms.items():
-        built.add_word(" " + term, weight)
+        pattern = term.removeprefix(ANYWHERE) if term.startswith(ANYWHERE) else " " + term
+        built.add_word(pattern, (weight, pattern.endswith(" ")))
     for phrase in exceptions:
-        built.add_word(" " + phrase + " ", 0.0)
+        built.add_word(" " + phrase + " ", (0.0, True))
     built.make_automaton()
     return built
 
 
 def matched(folded: str, patterns: ahocorasick.Automaton | None) -> float:
-    """Sum of the weights of the leftmost, longest matches."""
-    return math.fsum(w for _, w in patterns.iter_long(folded + " ")) if patterns is not None else 0.0
+    """Sum of the weights of the leftmost, longest matches; a closing space opens the next word too."""
+    if patterns is None:
+        return 0.0
+    text, start, weights = folded + " ", 0, []
+    while start is not None:
+        at, start = start, None
+        for end, (weight, closed) in patterns.iter_long(text, at):
+            weights.append(weight)
+            if closed:
+                start = end
+                break
+    return math.fsum(weights)
 
 
 def features(text: str | None, patterns: ahocorasick.Automaton | None) -> tuple[float, float]:
@@ -85,7 +113,8 @@ def _counted(rows: DataFrame, found, schema: str) -> DataFrame:
             for text, label in zip(frame["text"], frame["label"]):
                 counts[label].update(found(text))
             keys = list(counts[0].keys() | counts[1].keys())
-            yield pd.DataFrame({"item": keys, "toxic": [counts[1][k] for k in keys], "clean": [counts[0][k] for k in keys]})
+            if keys:
+                yield pd.DataFrame({"item": keys, "toxic": [counts[1][k] for k in keys], "clean": [counts[0][k] for k in keys]})
 
     partial = rows.select("text", "label").mapInPandas(scan, schema)
     return partial.groupBy("item").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -118,7 +147,7 @@ def _phrases(text: str, terms: dict[str, float]) -> set[str]:
     words = fold(text).split()
     found = set()
     for i, word in enumerate(words):
-        if any(word[:n] in terms for n in PREFIXES):
+        if any(term in terms for term in _terms_of(word)):
             if i:
                 found.add(f"{words[i - 1]} {word}")
             if i + 1 < len(words):
@@ -141,25 +170,32 @@ def toxicity_scores(
 ) -> DataFrame:
     """``docs`` as ``row`` with ``score``, the chance of label 1.
 
-    ``labelled`` is a bounded sample (``key``, ``text``, ``label``): one half of it, by hash, gives the
-    lexicon unless ``terms`` and ``exceptions`` are given, the other half the calibration. Nothing but
+    ``labelled`` is a bounded sample (``key``, ``text``, ``label``): all of it gives the lexicon, unless
+    ``terms`` and ``exceptions`` are given, and the calibration, for which each half, by hash, is
+    matched with the lexicon of the other half. Nothing but
     the text enters a score. Null texts score as empty ones; without labels of both kinds every score
     is one half. Repeated rows are scored each; an empty table gives an empty one. Other columns stay
     inside ``row``.
     """
-    half = F.pmod(F.xxhash64("key", F.lit(11)), F.lit(2))
-    learn, check = labelled.where(half == 0), labelled.where(half == 1)
-    terms = learn_terms(learn) if terms is None else terms
-    phrases = (learn_exceptions(learn, terms) if terms else []) if exceptions is None else list(exceptions)
-    lexicon = docs.sparkSession.sparkContext.broadcast((terms, phrases))
+    labelled = staged(labelled.select("key", "text", "label"), "labelled")
+    halved = labelled.withColumn("half", F.pmod(F.xxhash64("key", F.lit(11)), F.lit(2)).cast("int"))
+    given = None if exceptions is None else list(exceptions)
+
+    def learned(rows: DataFrame) -> tuple[dict[str, float], list[str]]:
+        own = learn_terms(rows) if terms is None else terms
+        return own, (learn_exceptions(rows, own) if own else []) if given is None else given
+
+    context = docs.sparkSession.sparkContext
+    lexicon = context.broadcast(learned(labelled))
+    others = context.broadcast([learned(halved.where(F.col("half") != h)) for h in (0, 1)])
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        patterns = automaton(*lexicon.value)
+        patterns = [automaton(*other) for other in others.value]
         for frame in frames:
-            pairs = [features(text, patterns) for text in frame["text"]]
+            pairs = [features(text, patterns[half]) for text, half in zip(frame["text"], frame["half"])]
             yield pd.DataFrame({"label": frame["label"], "a": [p[0] for p in pairs], "b": [p[1] for p in pairs]})
 
-    rows = check.mapInPandas(scan, "label int, a double, b double").limit(SAMPLE_ROWS).toPandas()
+    rows = halved.mapInPandas(scan, "label int, a double, b double").toPandas()
     weights = fit_logistic(rows[["a", "b"]].to_numpy(), rows["label"].to_numpy(float)) if rows["label"].nunique() == 2 else np.zeros(3)
 
     @F.pandas_udf("double")

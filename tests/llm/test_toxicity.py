@@ -75,3 +75,38 @@ def test_awkward_and_empty_tables(spark):
     assert len(empty) == 1 and empty.pop() < 0.5
     assert toxicity.toxicity_scores(nothing(spark), sample).collect() == []
     assert {r.score for r in toxicity.toxicity_scores(odd, sample.where("false")).collect()} == {0.5}
+
+
+def test_a_term_follows_an_exception_at_once():
+    built = toxicity.automaton({"quolt": 2.0, "zork": 3.0, "xo ": 4.0, "*毒药": 5.0}, ["mount quolt", "quolt hill"])
+
+    def total(text):
+        return toxicity.matched(toxicity.fold(text), built)
+
+    assert total("a mount quolt zorkel") == 3.0
+    assert total("mount quolt mount quolt zork quolt") == 5.0
+    assert total("xo zork xo xoa") == 11.0
+    assert total("这是毒药吗毒药") == 10.0
+
+
+def test_short_words_and_runs_without_spaces_are_learned(spark):
+    rows = [(i, f"{a} qz {b}" if i % 2 else f"{a} {b}", i % 2) for i, (a, b) in enumerate(("abcd", f"word{j}") for j in range(80))]
+    rows += [(100 + i, f"今天天气{'毒药' if i % 2 else '很好'}朋友{i}", i % 2) for i in range(80)]
+    terms = toxicity.learn_terms(spark.createDataFrame(rows, "key long, text string, label int"))
+    assert "qz " in terms
+    assert toxicity.matched(toxicity.fold("明天毒药"), toxicity.automaton(terms)) > 0
+
+
+def test_all_labels_are_learned_from(spark):
+    """A term in so few labelled texts that one half of them has too few."""
+    rows = [(i, f"zorkel plain{i}" if i < toxicity.LEAST_TEXTS else f"plain{i}", int(i < 20)) for i in range(60)]
+    labelled = spark.createDataFrame(rows, "key long, text string, label int")
+    docs = spark.createDataFrame([("zorkel",), ("nothing",)], "text string")
+    seen = []
+    whole = toxicity.learn_terms
+    toxicity.learn_terms = lambda rows: seen.append(whole(rows)) or seen[-1]
+    try:
+        toxicity.toxicity_scores(docs, labelled).collect()
+    finally:
+        toxicity.learn_terms = whole
+    assert "zor" in seen[0] and not any("zor" in terms for terms in seen[1:])
