@@ -15,9 +15,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.llm.common import broadcast_within
 from tallyfold.session import staged
 
 _NONE = -1
+#: Distinct lengths of vectors that are broadcast; more are joined.
+BROADCAST_SIZES = 10_000
 
 
 def _diverse(near: np.ndarray, vectors: np.ndarray, own: np.ndarray, most: int) -> np.ndarray:
@@ -191,7 +194,7 @@ def build_index(classes: DataFrame, shard_rows: int = 4096, links: int = 16, bre
     """One row per shard of ``classes`` (``class_id``, ``class_hash``, ``vector``): vectors and neighbour arrays."""
     sizes = classes.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
     shards = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(shard_rows)))
-    sized = classes.withColumn("dim", F.size("vector")).join(F.broadcast(sizes.limit(10_000)), "dim")
+    sized = classes.withColumn("dim", F.size("vector")).join(broadcast_within(staged(sizes, "sizes"), BROADCAST_SIZES), "dim")
     dealt = sized.withColumn("shard", F.pmod(F.xxhash64("class_id", "class_hash", F.lit(3)), shards))
     schema = "dim int, shard long, ids binary, hashes binary, vectors binary, arrays array<binary>, entry int"
     return dealt.groupBy("dim", "shard").applyInPandas(_build(links, breadth), schema)

@@ -84,3 +84,11 @@ def test_recall_beside_very_long_vectors(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     found = by_query(hnsw.nearest(frame, k=20, every=20, shard_rows=1000))
     assert recall(found, plain(rows, 20, 20)) >= 0.95
+
+
+def test_no_length_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "BROADCAST_SIZES", 1, raising=False)
+    rows = [(i, i, [1.0] * (1 + i % 5)) for i in range(20)]
+    index = hnsw.build_index(spark.createDataFrame(rows, "class_id long, class_hash long, vector array<double>"))
+    assert "Limit" not in index._jdf.queryExecution().toString()
+    assert sorted((r.dim, len(r.ids) // 8) for r in index.collect()) == [(n, 4) for n in range(1, 6)]
