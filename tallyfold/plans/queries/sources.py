@@ -542,17 +542,23 @@ def b1_overwrite(spark, sf):
     return files.read_parquet(spark, path, schemas.columns("o_orderkey bigint, o_orderstatus string"))
 
 
+def record_arrays(rows, key, about=10_000):
+    """(``bucket``, ``value``): JSON arrays of about so many records each, dealt by the hash of ``key``."""
+    buckets = max(1, -(-rows.count() // about))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")
+    return rows.groupBy(bucket).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+
+
 @query(
     "a4_json_array",
     "A4",
     "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
 )
 def a4_json_array(spark, sf):
-    """One array of records over one file per nation."""
+    """Arrays of records, one to a file; their number follows the table, so that each stays small."""
     path = scratch_path(spark, "array-json")
     columns = ["c_custkey", "c_mktsegment", "c_acctbal"]
-    arrays = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value"))
-    arrays.write.partitionBy("c_nationkey").text(path)
+    record_arrays(table(spark, sf, "customer").select(*columns), "c_custkey").write.partitionBy("bucket").text(path)
     read = files.read_json_array(spark, path, schemas.columns("c_custkey bigint, c_mktsegment string, c_acctbal double"))
     return read.select(*columns)
 

@@ -245,3 +245,11 @@ def test_staged_tables_go_with_their_job(spark):
         path = table.inputFiles()[0]
         assert table.count() == 3
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_arrays_of_records_stay_small(spark):
+    from tallyfold.plans.queries.sources import record_arrays
+
+    arrays = [json.loads(r.value) for r in record_arrays(spark.range(1000), "id", about=50).collect()]
+    assert sorted(x["id"] for a in arrays for x in a) == list(range(1000))
+    assert len(arrays) > 10 and max(map(len, arrays)) < 150
