@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import chat, decontaminate, extract, hnsw, linededup, lm, mixing, quality, simhash, toxicity
+from tallyfold.llm import bytebpe, chat, decontaminate, extract, hnsw, linededup, lm, mixing, quality, simhash, toxicity
 from tallyfold.llm.common import is_held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,14 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.linked_documents(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+@_register
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bytebpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    return bytebpe.decode(encoded).select(
+        "row.row.doc_id",
+        F.size("row.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("row.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
