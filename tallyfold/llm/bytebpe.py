@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import duckdb
@@ -29,7 +29,9 @@ from tallyfold.llm.common import packed
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECE_CHARS = 1_000_000  # a longer text is cut between words
-GROUP_CHARS = 8_000_000  # texts whose distinct words are contracted together
+GROUP_CHARS = 2_000_000  # texts that are encoded together
+GROUP_IDS = 1_000_000  # ids that are decoded together
+KNOWN = 500_000  # words, or runs of ids, that a worker remembers before it starts anew
 SHORT_WORD = 128  # bytes; longer words contract all repeats of a pair at once where that is the same
 
 # FIXED VALUES: the letters, numbers and white space below U+0100.
@@ -148,6 +150,37 @@ def pieces_of(text: str) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+class _Known:
+    """Distinct keys with the values that each stands for; it starts anew when it is full."""
+
+    def __init__(self, kind: type) -> None:
+        self._kind = kind
+        self._clear()
+
+    def _clear(self) -> None:
+        self._keys = pa.array([], pa.binary())
+        self._sizes = np.zeros(0, dtype=np.int64)
+        self._values = np.zeros(0, dtype=self._kind)
+
+    def of(self, keys: pa.Array, make: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """How many values the keys stand for, and the values; ``make`` gives those of keys not met before."""
+        if len(self._keys) > KNOWN:
+            self._clear()
+        found = pc.index_in(keys, value_set=self._keys)
+        at = found.fill_null(0).to_numpy().astype(np.int64)
+        new = keys.filter(found.is_null()).dictionary_encode()
+        if len(new):
+            at[found.is_null().to_numpy(zero_copy_only=False)] = len(self._keys) + new.indices.to_numpy()
+            sizes, values = make(new.dictionary)
+            self._keys = pa.concat_arrays([self._keys, new.dictionary])
+            self._sizes = np.concatenate([self._sizes, sizes])
+            self._values = np.concatenate([self._values, values])
+        begins = (np.cumsum(self._sizes) - self._sizes)[at]
+        sizes = self._sizes[at]
+        ends = np.cumsum(sizes)
+        return sizes, self._values[np.arange(sizes.sum()) + np.repeat(begins - (ends - sizes), sizes)]
+
+
 class Codec:
     """The merge table and the vocabulary in a DuckDB database of this worker's memory."""
 
@@ -167,6 +200,8 @@ class Codec:
         self.opens = np.zeros(max(ranks.values()) + 1, dtype=bool)
         self.opens[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
         self.splitter = Splitter()
+        self._words = _Known(np.int32)
+        self._runs = _Known(np.uint8)
         self._db = duckdb.connect(config={"threads": 1})
         merge_rows = pa.table({"pair": left * (1 << 32) + right, "made": made})
         piece_rows = pa.table({"tok": self.token_ids, "hex": [token.hex() for token in ranks]})
@@ -193,9 +228,8 @@ class Codec:
         usable = pa.table({"made": self.token_ids[within].astype(np.int64)})
         return self._ask("SELECT * FROM merges SEMI JOIN usable USING (made)", usable=usable)
 
-    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Token counts of distinct words, and their tokens one word after the other."""
-        words = words.cast(pa.binary())
         found = pc.index_in(words, value_set=self.tokens)
         whole = found.is_valid().to_numpy(zero_copy_only=False)
         sizes = pc.binary_length(words).to_numpy().astype(np.int64)
@@ -204,48 +238,46 @@ class Codec:
         pos = np.arange(len(letters)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         tok = self.bytes[letters]
         within = pos + 1 < sizes[word]
-        after = np.append(tok[1:], -1)
         columns = {
-            "word": word, "pos": pos, "tok": tok, "next_tok": np.where(within, after, -1), "next_pos": np.where(within, pos + 1, -1)
-        }
+            "word": word,
+            "pos": pos,
+            "tok": tok,
+            "next_tok": np.where(within, np.append(tok[1:], -1), -1),
+            "next_pos": np.where(within, pos + 1, -1),
+        }
         done = [(np.flatnonzero(whole), self.token_ids[found.drop_null().to_numpy()])]
         short = sizes <= SHORT_WORD
         for chosen, query in ((short & ~whole, _LEFTMOST), (~short & ~whole, _REPEATS)):
             if chosen.any():
                 rows = chosen[word]
-                start_rows = pa.table({k: v[rows] for k, v in columns.items()})
-                tables = {"near_merges": self._near_merges(letters[rows])} if query is _REPEATS else {}
-                result = self._ask(query, start_rows=start_rows, **tables)
+                tables = {"start_rows": pa.table({k: v[rows] for k, v in columns.items()})}
+                if query is _REPEATS:
+                    tables["near_merges"] = self._near_merges(letters[rows])
+                result = self._ask(query, **tables)
                 done.append((result["word"].to_numpy(), result["tok"].to_numpy()))
         word = np.concatenate([w for w, _ in done])
-        order = np.argsort(word, kind="stable")
-        ids = np.concatenate([t for _, t in done])[order].astype(np.int32)
+        ids = np.concatenate([t for _, t in done])[np.argsort(word, kind="stable")].astype(np.int32)
         return np.bincount(word, minlength=len(words)), ids
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token counts of the texts, and their tokens one text after the other."""
         counts = np.zeros(len(texts), dtype=np.int64)
         parts = [np.zeros(0, dtype=np.int32)]
-        group: list[list[str]] = []
-        owners: list[int] = []
+        group: list[str] = []
+        owners: list[tuple[int, int]] = []
         chars = 0
 
         def close() -> None:
-            words = pa.chunked_array([pa.array(w, pa.string()) for w in group], pa.string()).combine_chunks().dictionary_encode()
-            sizes, ids = self.encode_words(words.dictionary)
-            begins = np.cumsum(sizes) - sizes
-            at = words.indices.to_numpy()
-            taken = sizes[at]
-            ends = np.cumsum(taken)
-            parts.append(ids[np.arange(taken.sum()) + np.repeat(begins[at] - (ends - taken), taken)])
-            np.add.at(counts, np.repeat(owners, [len(w) for w in group]), taken)
+            sizes, ids = self._words.of(pa.array(group, pa.string()).cast(pa.binary()), self._encoded)
+            parts.append(ids)
+            np.add.at(counts, np.repeat([i for i, _ in owners], [n for _, n in owners]), sizes)
 
         for i, text in enumerate(texts):
             for piece in pieces_of(text):
-                if piece:
-                    group.append(self.splitter.words(piece))
-                    owners.append(i)
-                    chars += len(piece)
+                words = self.splitter.words(piece)
+                group += words
+                owners.append((i, len(words)))
+                chars += len(piece)
                 if chars >= GROUP_CHARS:
                     close()
                     group, owners, chars = [], [], 0
@@ -253,6 +285,20 @@ class Codec:
             close()
         return counts, np.concatenate(parts)
 
+    def _decoded(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Byte counts of distinct runs of ids, and their bytes one run after the other."""
+        sizes = pc.binary_length(runs).to_numpy() // 4
+        rows = {
+            "run": np.repeat(np.arange(len(sizes)), sizes),
+            "pos": np.arange(sizes.sum()),
+            "tok": np.frombuffer(b"".join(runs.to_pylist()), dtype=np.int32),
+        }
+        made = self._ask(_DECODE, run_rows=pa.table(rows))
+        if (made["known"].to_numpy() != sizes).any():
+            raise ValueError("an id is not in the vocabulary")
+        data = np.frombuffer(b"".join(made["bytes"].to_pylist()), dtype=np.uint8)
+        return pc.binary_length(made["bytes"]).to_numpy().astype(np.int64), data
+
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of id sequences of the given lengths that follow one another."""
         if len(ids) == 0:
@@ -262,27 +308,33 @@ class Codec:
         begins = np.concatenate([[0], np.cumsum(counts)])
         cut = self.opens[ids]
         cut[begins[:-1][counts > 0]] = True
-        starts = np.flatnonzero(cut)
-        offsets = np.append(starts, len(ids)) * 4
-        runs = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids.astype(np.int32))]
-        ).dictionary_encode()
-        sizes = pc.binary_length(runs.dictionary).to_numpy() // 4
-        rows = {
-            "run": np.repeat(np.arange(len(sizes)), sizes),
-            "pos": np.arange(sizes.sum()),
-            "tok": np.frombuffer(b"".join(runs.dictionary.to_pylist()), dtype=np.int32),
-        }
-        made = self._ask(_DECODE, run_rows=pa.table(rows))
-        if (made["known"].to_numpy() != sizes).any():
-            raise ValueError("an id is not in the vocabulary")
-        pieces = made["bytes"].combine_chunks().cast(pa.large_binary()).take(runs.indices)
-        data = b"".join(pieces.to_pylist())
-        ends = np.concatenate([[0], np.cumsum(pc.binary_length(pieces).to_numpy())])
-        edges = ends[np.searchsorted(starts, begins)]
+        starts = np.append(np.flatnonzero(cut), len(ids))
+        sizes, parts, first = [], [], 0
+        while first < len(starts) - 1:
+            last = max(first + 1, int(np.searchsorted(starts, starts[first] + GROUP_IDS, "right")) - 1)
+            held = ids[starts[first] : starts[last]].astype(np.int32)
+            offsets = ((starts[first : last + 1] - starts[first]) * 4).astype(np.int32)
+            runs = pa.Array.from_buffers(pa.binary(), last - first, [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+            size, data = self._runs.of(runs, self._decoded)
+            sizes.append(size)
+            parts.append(data.tobytes())
+            first = last
+        data = b"".join(parts)
+        edges = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])[np.searchsorted(starts, begins)]
         return [data[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
 
+def _stretches(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """The rows in stretches of about ``most`` in size, one row at least."""
+    upto = np.cumsum(sizes)
+    first = 0
+    while first < len(sizes):
+        before = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, before + most, "right")))
+        yield slice(first, last)
+        first = last
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -300,9 +352,12 @@ def encode(docs: DataFrame, text: str = "text", carry: Sequence[str] | None = No
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, ids = codec(path).encode(batch.column("text").to_pylist())
-            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.ListArray.from_arrays(offsets, pa.array(ids))], names=["row", "ids"])
+            for rows in _stretches(pc.binary_length(batch.column("text")).to_numpy(), GROUP_CHARS):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                counts, ids = codec(path).encode(part.column("text").to_pylist())
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
+                yield pa.RecordBatch.from_arrays([part.column("row"), lists], names=["row", "ids"])
 
     kept = F.struct("*") if carry is None else F.struct(*carry)
     narrow = docs.select(kept.alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -319,12 +374,13 @@ def decode(rows: DataFrame, ids: str = "ids", vocabulary: str | None = None) ->
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = batch.column("ids")
-            counts = pc.fill_null(pc.list_value_length(given), 0).to_numpy().astype(np.int64)
-            found = codec(path).decode(given.flatten().to_numpy(zero_copy_only=False), counts)
-            known = given.is_valid().to_pylist()
-            values = pa.array([b if k else None for b, k in zip(found, known)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), values], names=["row", "bytes"])
+            lengths = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy().astype(np.int64)
+            for rows in _stretches(lengths, GROUP_IDS):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                given = part.column("ids")
+                found = codec(path).decode(given.flatten().to_numpy(zero_copy_only=False), lengths[rows])
+                values = pa.array([b if k else None for b, k in zip(found, given.is_valid().to_pylist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("row"), values], names=["row", "bytes"])
 
     narrow = packed(rows, ids=F.col(ids).cast("array<int>"))
     return narrow.mapInArrow(decoded, StructType([narrow.schema["row"], StructField("bytes", BinaryType())]))
