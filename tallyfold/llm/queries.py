@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bytebpe, chat, decontaminate, extract, hnsw, linededup, lm, mixing, quality, simhash, toxicity
+from tallyfold.llm import bytebpe, chat, decontaminate, extract, hnsw, lexical, linededup, lm, mixing, prefixtrie, quality, simhash, toxicity
 from tallyfold.llm.common import is_held_out, labelled_sample, table
+from tallyfold.session import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -118,6 +119,63 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.linked_documents(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+_TERMS = _WORDS.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
+
+SQL["op11_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+total AS (SELECT count(*) AS nn, sum(len(w)) AS ll FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY 1, 2),
+df AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+       FROM tf, total GROUP BY term, nn),
+m AS (SELECT r, doc_id, CAST(50 + (50 * len(w) * nn) // ll AS BIGINT) AS m FROM d, total WHERE len(w) > 0),
+i AS (SELECT row_number() OVER () AS item, item_id, w FROM (SELECT DISTINCT item_id, text, {_TERMS} AS w FROM benchmark)),
+asked AS (SELECT DISTINCT item, item_id, unnest(w) AS term FROM i),
+scores AS (SELECT item, item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+           FROM asked JOIN df USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL HAVING score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM scores) WHERE rank <= 50"""
+
+
+@_register
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = staged(lexical.query_terms(table(spark, sf_dir, "benchmark")), "items")
+    counts = staged(lexical.term_counts(table(spark, sf_dir, "documents")), "term_counts")
+    index = lexical.build_index(counts, items.select(F.explode("terms").alias("term")))
+    return lexical.search(index, items, k=50).drop("item")
+
+
+# DuckDB has no crc32: its table-free form over the digits of the id.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+  lambda crc, digit: list_reduce(list_prepend(xor(crc, digit), range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+SQL["op12_prefix_trie"] = f"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), text) AS p,
+             coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, {_CRC32} % 6 AS h, c - c % 100 AS b FROM (SELECT DISTINCT c FROM t)),
+turns AS (SELECT h.c, 0 AS part, p, role, text FROM h JOIN t ON t.c = h.b AND p <= h
+          UNION ALL SELECT h.c, 1, p, role, text FROM h JOIN t ON t.c = h.c AND p > h),
+seq AS (SELECT h.c, coalesce(list({{'role': role, 'text': text}} ORDER BY part, p) FILTER (p IS NOT NULL), []) AS s
+        FROM h LEFT JOIN turns USING (c) GROUP BY h.c),
+nodes AS (SELECT s[1:d] AS n, d, min(c) AS conv_id, count(*) AS n_convs,
+            sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d), '')) AS ends_sha256
+          FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seq) GROUP BY ALL),
+kids AS (SELECT n[1:d - 1] AS n, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+tree AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (n, d)),
+sums AS (SELECT u.n, u.d, sum((v.n_children = 0)::BIGINT) AS n_leaves,
+           sum((v.n_convs - 1) * CASE WHEN v.d = 0 THEN 0 ELSE length(v.n[v.d].text) END) AS saved_tokens
+         FROM tree u JOIN tree v ON v.d >= u.d AND v.n[1:u.d] = u.n GROUP BY ALL)
+SELECT tree.conv_id, CAST(tree.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, tree.n_convs, tree.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, tree.ends_sha256
+FROM tree JOIN sums USING (n, d) LEFT JOIN nodes up ON tree.d > 0 AND up.d = tree.d - 1 AND up.n = tree.n[1:tree.d - 1]"""
+
+
+@_register
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = staged(prefixtrie.ordered_turns(table(spark, sf_dir, "conversations")), "turns")
+    rebuilt, convs = prefixtrie.with_shared_heads(turns)
+    return prefixtrie.prefix_trie(staged(rebuilt, "rebuilt"), convs)
+
+
 @_register
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bytebpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
