@@ -18,9 +18,13 @@ DAILY_COLUMNS = ["date", "location_id", "daily_cases", "daily_deaths"]
 
 
 class BatchResult(NamedTuple):
+    """``passed_over`` holds the matched rows of days that are loaded already; where these may be revised,
+    load batches with ``plans.ledger`` instead."""
+
     daily: DataFrame
     snapshot: DataFrame
     unmatched: DataFrame
+    passed_over: DataFrame | None = None
 
 
 def attach_location_id(rows: DataFrame, locations: DataFrame) -> DataFrame:
@@ -44,6 +48,12 @@ def drop_loaded(recent: DataFrame, snapshot: DataFrame) -> DataFrame:
     return rows.where(F.col("_last").isNull() | (F.col("date") > F.col("_last"))).drop("_last")
 
 
+def loaded_days(recent: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """The rows that :func:`drop_loaded` leaves out."""
+    last = snapshot.groupBy("location_id").agg(F.max("date").alias("_last"))
+    return recent.join(last, "location_id").where(F.col("date") <= F.col("_last")).drop("_last")
+
+
 def unique_days(rows: DataFrame) -> DataFrame:
     """One row per location and day: a day delivered again with the same counts counts once, with
     others it fails the job."""
@@ -75,7 +85,8 @@ def load_batch(snapshot: DataFrame, batch: DataFrame, locations: DataFrame, firs
     """
     known, unmatched = split_matched(attach_location_id(batch, locations), "location_id")
     fresh = fresh_days(known, snapshot)
-    return BatchResult(daily_of(fresh, snapshot, first), next_snapshot(snapshot, fresh), unmatched)
+    passed_over = loaded_days(known, snapshot)
+    return BatchResult(daily_of(fresh, snapshot, first), next_snapshot(snapshot, fresh), unmatched, passed_over)
 
 
 def full_load(cumulated: DataFrame, locations: DataFrame, first: str = "zero") -> BatchResult:

@@ -12,6 +12,7 @@ from tallyfold.fixed_values import UNKNOWN_ELEVATION
 from tallyfold.functions import columns as fx
 from tallyfold.operators import locations, quality, star, timeseries
 from tallyfold.plans import cases as case_jobs
+from tallyfold.plans import ledger
 from tallyfold.plans import weather as weather_jobs
 from tallyfold.plans.queries.cases import (
     _DAILY,
@@ -22,12 +23,14 @@ from tallyfold.plans.queries.cases import (
     PLACE,
     SECOND_FROM,
     _between,
+    _known,
 )
 from tallyfold.plans.queries.weather import _ROLES, _roles, _without
 from tallyfold.plans.registry import query
 from tallyfold.plans.standins import cumulated, iso_day, nation_locations, observations, table, with_sql
 from tallyfold.session import scratch_path, staged
 from tallyfold.sinks import files as sinks
+from tallyfold.sinks.committed import CommittedTable
 from tallyfold.sources import files, text
 from tallyfold.streaming import feeds
 
@@ -296,6 +299,44 @@ def b6_append(spark, sf):
     return files.read_parquet(spark, path)
 
 
+@query(
+    "b6_repeated_append",
+    "B6 K5",
+    "SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS VARCHAR)[:4] AS year FROM orders",
+)
+def b6_repeated_append(spark, sf):
+    """Batches appended to a committed table, each of them twice, then compacted and appended once more."""
+    schema = schemas.columns("o_orderkey bigint, o_orderstatus string, year string")
+    stored = CommittedTable(spark, scratch_path(spark, "orders"), schema, ["year"])
+    orders = table(spark, sf, "orders").withColumn("year", F.col("o_orderdate").cast("string").substr(1, 4))
+    for status in ("F", "O", "P", "F"):
+        stored.append(orders.where(F.col("o_orderstatus") == status), f"status {status}")
+    stored.compact(small=128 << 20)
+    stored.append(orders.where(F.col("o_orderstatus") == "O"), "status O")
+    return stored.read()
+
+
+@query(
+    "b7_committed_snapshot",
+    "B7 K1",
+    "SELECT o_custkey, CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS latest FROM orders GROUP BY 1",
+)
+def b7_committed_snapshot(spark, sf):
+    """A snapshot replaced as one version; what was read before stays what it was."""
+    stored = CommittedTable(spark, scratch_path(spark, "snapshot"), _SNAPSHOT)
+    days = table(spark, sf, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("latest"))
+    cut = F.lit("1998-12-31").cast("date")
+
+    def latest(rows):
+        return rows.groupBy("o_custkey").agg(F.max("latest").alias("latest"))
+
+    stored.overwrite(latest(days.where(F.col("latest") <= cut)))
+    seen = stored.version()
+    merged = latest(stored.read(seen).unionByName(days.where(F.col("latest") > cut)))
+    stored.replace(merged, seen.parts, seen)
+    return stored.read().withColumn("latest", F.col("latest").cast("string"))
+
+
 _SNAPSHOT = schemas.columns("o_custkey bigint, latest date")
 
 
@@ -382,6 +423,46 @@ def stream_cases(spark, sf):
     return named.select(*PLACE, iso_day(), "daily_cases", "daily_deaths")
 
 
+# The first delivery lacks the Mondays and understates the first day of each month; the second brings
+# both, for all days, and the days after the first.
+_CORRECTED = _DAILY.format(cases="cases - lag(cases, 1, 0) OVER w", deaths="deaths - lag(deaths, 1, 0) OVER w").replace(
+    "FROM cumulated", "FROM known"
+)
+
+
+def _corrected_ledger(spark, sf):
+    places = nation_locations(spark, sf)
+    known = staged(_known(cumulated(spark, sf), places), "known")
+    day, path = F.col("date"), scratch_path(spark, "ledger")
+    understated = F.when(F.dayofmonth(day) == 1, F.col("cases") - 1).otherwise(F.col("cases"))
+    early = known.where((day <= F.lit(FIRST_TO).cast("date")) & (F.weekday(day) != 0)).withColumn("cases", understated)
+    late = known.where((day > F.lit(FIRST_TO).cast("date")) | (F.weekday(day) == 0) | (F.dayofmonth(day) == 1))
+    for number, rows in enumerate((early, late, late)):
+        ledger.load_counts(spark, path, rows, f"batch {min(number, 1)}")
+    return path, places
+
+
+@query("k12_corrections", "K12 K7", with_sql("cumulated nation_locations", _CORRECTED, _KNOWN))
+def k12_corrections(spark, sf):
+    """A batch that inserts and revises days already loaded gives what a full load gives."""
+    path, places = _corrected_ledger(spark, sf)
+    return ledger.read_days(spark, path).join(places, "location_id").select(*PLACE, iso_day(), "daily_cases", "daily_deaths")
+
+
+@query(
+    "k12_corrected_snapshot",
+    "K12 K1 B7",
+    with_sql(
+        "cumulated nation_locations",
+        "SELECT CAST(date AS VARCHAR) AS date, state, county, fips, cases, deaths FROM known QUALIFY rank() OVER (PARTITION BY state ORDER BY date DESC) = 1",
+        _KNOWN,
+    ),
+)
+def k12_corrected_snapshot(spark, sf):
+    path, places = _corrected_ledger(spark, sf)
+    return ledger.read_latest(spark, path).join(places, "location_id").select(iso_day(), *PLACE, "cases", "deaths")
+
+
 @query(
     "a12_lookup_csv",
     "A12 D11 C15",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold import schemas
@@ -16,12 +16,12 @@ from tallyfold.operators.joins import join_null_safe, keep_known
 from tallyfold.operators.latest import lowest_colocated
 from tallyfold.operators.nearest import nearest_per_element
 from tallyfold.operators.quality import passed_quality, significant_pairs
-from tallyfold.session import drop_path, partition_name, path_exists, staging
-from tallyfold.sinks.files import replace_partitions, write_csv, write_partitioned
-from tallyfold.sources.files import read_parquet, read_weather
+from tallyfold.session import staging
+from tallyfold.sinks.committed import CommittedTable
+from tallyfold.sinks.files import write_csv, write_partitioned
+from tallyfold.sources.files import read_weather
 
 FACT_PARTITIONS = ("measured", "month")
-_TOUCHED_SCHEMA = schemas.columns("measured string, month string")
 FACT_SCHEMA = schemas.columns(
     "station_id string, date string, value int, measured string, month string"
 )
@@ -70,12 +70,17 @@ def with_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn("month", F.substring("date", 1, 6))
 
 
+def fact_table(spark: SparkSession, path: str) -> CommittedTable:
+    return CommittedTable(spark, path, FACT_SCHEMA, FACT_PARTITIONS)
+
+
 def write_fact(fact: DataFrame, path: str) -> None:
-    write_partitioned(with_month(fact), path, FACT_PARTITIONS)
+    fact_table(fact.sparkSession, path).overwrite(with_month(fact))
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return read_parquet(spark, path, FACT_SCHEMA)
+    """The fact as of now; a delta applied while the frame is in use does not show in it."""
+    return fact_table(spark, path).read()
 
 
 def clean_deltas(deltas: dict[str, DataFrame], selected: DataFrame) -> dict[str, DataFrame]:
@@ -87,64 +92,29 @@ def clean_deltas(deltas: dict[str, DataFrame], selected: DataFrame) -> dict[str,
     }
 
 
-def _pending(path: str) -> str:
-    return path.rstrip("/") + ".pending"
-
-
-def _publish(spark: SparkSession, path: str, touched: list[tuple[str | None, str | None]]) -> None:
-    """Put the pending partitions in place of the stored ones and drop those left without rows."""
-    result = spark.read.schema(FACT_SCHEMA).parquet(f"{_pending(path)}/rows")
-    written = {(row.measured, row.month) for row in result.select(*FACT_PARTITIONS).distinct().collect()}
-    replace_partitions(result, path, FACT_PARTITIONS)
-    for values in touched:
-        if values not in written:
-            drop_path(spark, "/".join([path, *(partition_name(spark, c, v) for c, v in zip(FACT_PARTITIONS, values))]))
-    drop_path(spark, _pending(path))
-
-
-def recover_fact(spark: SparkSession, path: str) -> None:
-    """Finish a replacement that was cut off, or drop one that had not begun to replace anything."""
-    pending = _pending(path)
-    if path_exists(spark, f"{pending}/touched/_SUCCESS"):
-        touched = spark.read.schema(_TOUCHED_SCHEMA).parquet(f"{pending}/touched").collect()
-        _publish(spark, path, [(row.measured, row.month) for row in touched])
-    else:
-        drop_path(spark, pending)
-
-
 def apply_deltas_to_path(
     spark: SparkSession, path: str, deltas: dict[str, DataFrame], order: Sequence[str] = ORDERS[0]
 ) -> None:
     """Apply deltas to the stored fact, reading and rewriting only the partitions they touch.
 
-    The new partitions are written beside the fact and stay there until they are in place: a run that
-    was cut off while replacing is finished by the next one (or by :func:`recover_fact`) before
-    anything else. Applying the same deltas again gives the same fact. Null dates and elements have a
-    partition like any other value.
+    The result becomes visible at once, when its version is put in place; a run that was cut off before
+    leaves the fact as it was, and a run that another one overtook on the same partitions fails with
+    :class:`LostCommit`. Applying the same deltas again gives the same fact. Null dates and elements
+    have a partition like any other value.
     """
-    recover_fact(spark, path)
     columns = ["measured", "station_id", "date", "value", "month"]
     marked = reshape.stack_sources({name: with_month(rows).select(*columns) for name, rows in deltas.items()}, "op")
+    table = fact_table(spark, path)
+    seen = table.version()
     with staging(spark) as stage:
         # Read, checked and filtered once; the deltas serve for pruning and for the result.
         rows = stage(marked, "delta-rows")
         parts = {name: rows.where(F.col("op") == name).drop("op") for name in deltas}
-        # Partition names, not data: they prune the scan to the directories the deltas touch.
-        touched = stage(rows.select(*FACT_PARTITIONS).distinct(), "touched")
-        names = [(row.measured, row.month) for row in touched.collect()]
-        stored = read_fact(spark, path)
-        for column, values in zip(FACT_PARTITIONS, zip(*names)):
-            stored = stored.where(_one_of(column, set(values)))
-        affected = join_null_safe(stored, touched, list(FACT_PARTITIONS), "left_semi").select(*columns)
+        # Partition names, not data: only the directories that the deltas touch are read.
+        touched = [table.part(tuple(row)) for row in rows.select(*FACT_PARTITIONS).distinct().collect()]
+        affected = table.read(seen, touched).select(*columns)
         result = apply_delta(affected, parts["delete"], parts["insert"], parts["update"], order, (*KEYS, "month"))
-        result.hint("rebalance", *FACT_PARTITIONS).write.parquet(f"{_pending(path)}/rows")
-        touched.write.parquet(f"{_pending(path)}/touched")  # last: from here on the replacement counts
-    _publish(spark, path, names)
-
-
-def _one_of(column: str, values: set[str | None]) -> Column:
-    listed = F.col(column).isin([v for v in values if v is not None])
-    return listed | F.col(column).isNull() if None in values else listed
+        table.replace(result, touched, seen)
 
 
 def cases_with_weather(cases: DataFrame, weather: DataFrame, place: Sequence[str]) -> DataFrame:

@@ -80,11 +80,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-
-
 def partition_name(spark: SparkSession, column: str, value: str | None) -> str:
     """Directory name of a partition value as Spark writes it: escaped, null under its own name."""
     names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils

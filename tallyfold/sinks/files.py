@@ -46,7 +46,8 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Add rows; those of one partition value are brought together first."""
+    """Add rows; those of one partition value are brought together first. Running it again adds them
+    again: a job that may be repeated appends to a ``CommittedTable``."""
     df.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
 
