@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.columns import number_or_null
+from tallyfold.functions.special import student_quantile, student_tail
 from tallyfold.operators.joins import join_null_safe
 from tallyfold.operators.ordered import row_positions
 
@@ -59,8 +60,16 @@ def lagged_correlation(
     return pairs.groupBy(*keys, F.col("lag").cast("int").alias("lag")).agg(F.corr("_first", "_second").alias("corr"))
 
 
-def simple_regression(rows: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Least squares of y on x: coefficients, their standard errors and t values, fit."""
+def simple_regression(
+    rows: DataFrame, x: str, y: str, keys: Sequence[str] = (), confidence: float | None = None
+) -> DataFrame:
+    """Least squares of y on x: coefficients, their standard errors and t values, fit.
+
+    With ``confidence`` (such as 0.95) also the two-sided probabilities ``slope_p`` and ``intercept_p``, the
+    ``f`` value of the fit with ``f_p``, and the limits ``slope_low``, ``slope_high``, ``intercept_low`` and
+    ``intercept_high``. All of these are null for fewer than three pairs; those that divide by an error are
+    so for a perfect fit.
+    """
     xd, yd = F.col("_x"), F.col("_y")
     sums = _pair(rows, keys, x, y).groupBy(*keys).agg(
         F.regr_count(yd, xd).alias("n"),
@@ -76,7 +85,7 @@ def simple_regression(rows: DataFrame, x: str, y: str, keys: Sequence[str] = ())
     sxx = F.nullif(F.col("_sxx"), F.lit(0.0))
     slope_error = F.sqrt(variance / sxx)
     intercept_error = F.sqrt(variance * (1 / F.col("n") + F.pow("_mean_x", F.lit(2)) / sxx))
-    return (
+    fitted = (
         sums.withColumn("slope_error", slope_error)
         .withColumn("intercept_error", intercept_error)
         .withColumn("slope_t", F.col("slope") / F.nullif(F.col("slope_error"), F.lit(0.0)))
@@ -84,3 +93,19 @@ def simple_regression(rows: DataFrame, x: str, y: str, keys: Sequence[str] = ())
         .withColumn("r2_adjusted", 1 - (1 - F.col("r2")) * (F.col("n") - 1) / free)
         .drop("_sxx", "_syy", "_mean_x")
     )
+    return fitted if confidence is None else _with_tests(fitted, confidence)
+
+
+def _with_tests(fitted: DataFrame, confidence: float) -> DataFrame:
+    """One row per fit: probabilities and limits from the t distribution."""
+    free = F.nullif(F.greatest(F.col("n") - 2, F.lit(0)), F.lit(0)).cast("double")
+    reach = student_quantile(1 - confidence, F.col("_free"))
+    tested = fitted.withColumn("_free", free).withColumn("_reach", reach)
+    for name in ("slope", "intercept"):
+        tested = (
+            tested.withColumn(f"{name}_p", student_tail(F.col(f"{name}_t"), F.col("_free")))
+            .withColumn(f"{name}_low", F.col(name) - F.col("_reach") * F.col(f"{name}_error"))
+            .withColumn(f"{name}_high", F.col(name) + F.col("_reach") * F.col(f"{name}_error"))
+        )
+    # With one regressor the fit's F value is the square of the slope's t value.
+    return tested.withColumn("f", F.col("slope_t") * F.col("slope_t")).withColumn("f_p", F.col("slope_p")).drop("_free", "_reach")

@@ -150,3 +150,38 @@ FROM ({_WITH_GAPS}) GROUP BY 1""",
 def m3_regression_nan(spark, sf):
     rows = stats.simple_regression(_with_gaps(spark, sf), "q", "p", ["l_returnflag"])
     return rows.select("l_returnflag", "n", F.round("slope", 4).alias("slope"), F.round("r2", 8).alias("r2"))
+
+
+# The finite series of the t distribution with n - 2 degrees of freedom: with theta = atan(t / sqrt(n - 2)),
+# products of (k - 1) / k * cos(theta)^2 for odd or for even k, summed up.
+_CENTRAL = """(CASE WHEN n % 2 = 0 THEN 0 ELSE 2 / pi() * atan({t} / sqrt(n - 2)) END
+  + sin(atan({t} / sqrt(n - 2))) * CASE WHEN n = 3 THEN 0 ELSE
+    CASE WHEN n % 2 = 0 THEN 1.0 ELSE 2 / pi() * cos(atan({t} / sqrt(n - 2))) END
+    * list_sum(list_transform(range(0, (n - 2 - n % 2) // 2), lambda i: coalesce(list_product(list_transform(range(1, i + 1),
+        lambda k: (2 * k - 1 + n % 2) / (2 * k + n % 2) * pow(cos(atan({t} / sqrt(n - 2))), 2))), 1.0))) END)"""
+
+
+@query(
+    "m3_regression_tests",
+    "M3",
+    f"""WITH RECURSIVE {_DAYS},
+fit AS (SELECT regr_count(purchases, clicks) AS n, regr_slope(purchases, clicks) AS slope, regr_intercept(purchases, clicks) AS intercept,
+  (1 - regr_r2(purchases, clicks)) * regr_syy(purchases, clicks) / (regr_count(purchases, clicks) - 2) AS var,
+  regr_sxx(purchases, clicks) AS sxx, regr_avgx(purchases, clicks) AS mean FROM days),
+errors AS (SELECT *, sqrt(var / sxx) AS se, sqrt(var * (1 / n + mean * mean / sxx)) AS ie FROM fit),
+halved AS (SELECT n, 0.0::DOUBLE AS low, 100.0::DOUBLE AS high, 0 AS step FROM fit
+  UNION ALL SELECT n, CASE WHEN inner_part < 0.95 THEN (low + high) / 2 ELSE low END,
+    CASE WHEN inner_part < 0.95 THEN high ELSE (low + high) / 2 END, step + 1
+  FROM (SELECT *, {_CENTRAL.format(t="((low + high) / 2)")} AS inner_part FROM halved WHERE step < 60)),
+reach AS (SELECT low AS q FROM halved WHERE step = 60)
+SELECT CAST(n AS BIGINT) AS n, round(1 - {_CENTRAL.format(t="abs(slope / se)")}, 9) AS slope_p,
+  round(1 - {_CENTRAL.format(t="abs(intercept / ie)")}, 9) AS intercept_p, round(pow(slope / se, 2), 6) AS f,
+  round(1 - {_CENTRAL.format(t="abs(slope / se)")}, 9) AS f_p, round(slope - q * se, 7) AS slope_low, round(slope + q * se, 7) AS slope_high,
+  round(intercept - q * ie, 5) AS intercept_low, round(intercept + q * ie, 5) AS intercept_high
+FROM errors, reach""",
+)
+def m3_regression_tests(spark, sf):
+    """Probabilities, F test and 95 % limits of the fit."""
+    rows = stats.simple_regression(_days(spark, sf), "clicks", "purchases", confidence=0.95)
+    digits = {"slope_p": 9, "intercept_p": 9, "f": 6, "f_p": 9, "slope_low": 7, "slope_high": 7, "intercept_low": 5, "intercept_high": 5}
+    return rows.select("n", *[F.round(c, d).alias(c) for c, d in digits.items()])
