@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyfold import schemas
@@ -9,10 +11,11 @@ from tallyfold.fixed_values import ELEMENTS, TERRITORY_PREFIXES, UNINCORPORATED_
 from tallyfold.functions import columns as fx
 from tallyfold.operators import delta, joins, latest, quality, report, reshape
 from tallyfold.operators.nearest import clear_mapping
-from tallyfold.plans.registry import query
+from tallyfold.plans import stations
+from tallyfold.plans.registry import QUERIES, query
 from tallyfold.plans.standins import ELEMENT_OF_TYPE, iso_day, observations, table, with_sql
-from tallyfold.plans.weather import publish_cases_with_weather
-from tallyfold.session import scratch_path
+from tallyfold.plans.weather import cases_with_stored_weather, publish_cases_with_weather, store_weather_by_place
+from tallyfold.session import scratch_path, staged
 from tallyfold.sources.files import read_csv
 
 OUT = "event_id, station_id, CAST(date AS VARCHAR) AS date, measured, value"
@@ -78,6 +81,17 @@ def l5_significant_pairs(spark, sf):
     return _selected(observations(spark, sf))
 
 
+@query("l5_folded_batches", "L5 E2", with_sql("observations", "SELECT * FROM selected", _SELECTED))
+def l5_folded_batches(spark, sf):
+    """The same pairs from stored days, to which batches that overlap are added, one of them twice."""
+    rows = staged(quality.passed_quality(observations(spark, sf)), "checked")
+    path, day = scratch_path(spark, "reported-days"), F.dayofmonth("date")
+    for name, batch in (("a", day <= 12), ("b", day.between(10, 20)), ("c", day > 18), ("b", day <= 20), ("d", day < 25)):
+        stations.fold_days(spark, path, rows.where(batch), name)
+    kept = stations.significant_stations(spark, path, MIN_DAYS)
+    return kept.where(fx.has_prefix("station_id", TERRITORY_PREFIXES) & F.col("measured").isin(ELEMENTS))
+
+
 @query(
     "e1_reports_per_pair",
     "E1",
@@ -221,6 +235,16 @@ def d17_stored_per_element(spark, sf):
     return rows.select("state", iso_day(), "cases", "element", F.round("value", 4).alias("value"))
 
 
+@query("d17_stored_in_buckets", "D17 D18 K7", QUERIES["d17_stored_per_element"].sql)
+def d17_stored_in_buckets(spark, sf):
+    """The same rows, from observations stored in buckets of the join's key."""
+    cases, weather = _cases_and_weather(spark, sf)
+    name, path = f"weather_by_place_{uuid.uuid4().hex}", scratch_path(spark, "weather-buckets")
+    store_weather_by_place(weather, name, path, ["state"])
+    rows = cases_with_stored_weather(spark, cases, name, ["state"])
+    return rows.select("state", iso_day(), "cases", "element", F.round("value", 4).alias("value"))
+
+
 def _cases_and_weather(spark, sf):
     nations = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("state"))
     buyers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")

@@ -12,11 +12,12 @@ from tallyfold.fixed_values import ELEMENTS, MAX_DISTANCE, MIN_REPORTED_DAYS, TE
 from tallyfold.functions.columns import has_prefix
 from tallyfold.operators import reshape
 from tallyfold.operators.delta import KEYS, ORDERS, apply_delta, relevant
-from tallyfold.operators.joins import join_null_safe, keep_known
+from tallyfold.operators.joins import attach_total, join_null_safe, keep_known
 from tallyfold.operators.latest import lowest_colocated
 from tallyfold.operators.nearest import nearest_per_element
 from tallyfold.operators.quality import passed_quality, significant_pairs
 from tallyfold.session import staging
+from tallyfold.sinks.bucketed import BUCKET_KEY, bucket_key, write_bucketed
 from tallyfold.sinks.committed import CommittedTable
 from tallyfold.sinks.files import write_csv, write_partitioned
 from tallyfold.sources.files import read_weather
@@ -117,13 +118,37 @@ def apply_deltas_to_path(
         table.replace(result, touched, seen)
 
 
+MOST_ELEMENTS = 1000
+
+
+def _per_element(cases: DataFrame, weather: DataFrame) -> DataFrame:
+    """Every case row once per element of the weather; fails should there be more than a thousand of them."""
+    listed = F.array_sort(F.collect_set("element"))
+    too_many = F.raise_error(F.lit(f"more than {MOST_ELEMENTS} elements")).cast("array<string>")
+    elements = weather.select("element").distinct().agg(
+        F.when(F.count(F.lit(1)) <= MOST_ELEMENTS, listed).otherwise(too_many).alias("_elements")
+    )
+    return attach_total(cases, elements).withColumn("element", F.explode("_elements")).drop("_elements")
+
+
 def cases_with_weather(cases: DataFrame, weather: DataFrame, place: Sequence[str]) -> DataFrame:
     """Every case row once per element, beside the element's observations of its place and day."""
-    elements = weather.select("element").distinct()
-    each = cases.join(elements)  # one row per element, a handful
-    return join_null_safe(each, weather, [*place, "date", "element"], "left")
+    return join_null_safe(_per_element(cases, weather), weather, [*place, "date", "element"], "left")
 
 
 def publish_cases_with_weather(cases: DataFrame, weather: DataFrame, place: Sequence[str], target: str) -> None:
     """One directory of CSV files per element."""
     write_csv(cases_with_weather(cases, weather, place), target, ["element"])
+
+
+def store_weather_by_place(weather: DataFrame, name: str, path: str, place: Sequence[str], buckets: int | None = None) -> None:
+    """Keep the observations in buckets by place, day and element, where later joins find them without a shuffle."""
+    write_bucketed(weather, name, path, [*place, "date", "element"], buckets)
+
+
+def cases_with_stored_weather(spark: SparkSession, cases: DataFrame, name: str, place: Sequence[str]) -> DataFrame:
+    """Like :func:`cases_with_weather`, over observations stored in buckets: only the cases move to them."""
+    keys = [*place, "date", "element"]
+    weather = spark.table(name)
+    each = _per_element(cases, weather).withColumn(BUCKET_KEY, bucket_key(keys))
+    return each.join(weather.drop(*keys), BUCKET_KEY, "left").drop(BUCKET_KEY)
