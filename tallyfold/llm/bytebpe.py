@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from tallyfold.llm.common import packed
+from tallyfold.llm.common import packed, stretches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECE_CHARS = 1_000_000  # a longer text is cut between words
@@ -324,17 +324,6 @@ class Codec:
         return [data[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
 
-def _stretches(sizes: np.ndarray, most: int) -> Iterator[slice]:
-    """The rows in stretches of about ``most`` in size, one row at least."""
-    upto = np.cumsum(sizes)
-    first = 0
-    while first < len(sizes):
-        before = upto[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(upto, before + most, "right")))
-        yield slice(first, last)
-        first = last
-
-
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -352,7 +341,7 @@ def encode(docs: DataFrame, text: str = "text", carry: Sequence[str] | None = No
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in _stretches(pc.binary_length(batch.column("text")).to_numpy(), GROUP_CHARS):
+            for rows in stretches(pc.binary_length(batch.column("text")).to_numpy(), GROUP_CHARS):
                 part = batch.slice(rows.start, rows.stop - rows.start)
                 counts, ids = codec(path).encode(part.column("text").to_pylist())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
@@ -375,7 +364,7 @@ def decode(rows: DataFrame, ids: str = "ids", vocabulary: str | None = None) ->
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lengths = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy().astype(np.int64)
-            for rows in _stretches(lengths, GROUP_IDS):
+            for rows in stretches(lengths, GROUP_IDS):
                 part = batch.slice(rows.start, rows.stop - rows.start)
                 given = part.column("ids")
                 found = codec(path).decode(given.flatten().to_numpy(zero_copy_only=False), lengths[rows])

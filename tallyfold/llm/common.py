@@ -66,6 +66,17 @@ def group_starts(*columns: np.ndarray) -> np.ndarray:
     return starts
 
 
+def stretches(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """The rows in stretches of about ``most`` in size, one row at least."""
+    upto = np.cumsum(sizes)
+    first = 0
+    while first < len(sizes):
+        before = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, before + most, "right")))
+        yield slice(first, last)
+        first = last
+
+
 def broadcast_within(rows: DataFrame, limit: int) -> DataFrame:
     """``rows`` (a written table) marked for broadcast if it has at most ``limit`` rows, else as it is."""
     return F.broadcast(rows) if rows.count() <= limit else rows

@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from tallyfold.llm.common import stretches
 from tallyfold.session import staged
 
 BLOCK_DOCS = 1024  # documents of a stratum in one row of the index
 QUERY_TERMS = 500_000  # (item, term) rows of the queries that are searched together
 FIRST_VISITS = 16  # strata a query visits in its first wave; the next waves go 16 times as far each
-_PAIRS = 2_000_000  # (query, posting) pairs scored at a time
+_PAIRS = 500_000  # (query, posting) pairs scored at a time
+_TEXT_BYTES = 2_000_000  # texts counted at a time
 
 # FIXED VALUES: what is not part of a term, and the scales of the ranking.
 _FOLDED = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
@@ -47,19 +49,15 @@ def term_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [Counter(terms_of(text)) for text in batch.column("text").to_pylist()]
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(c) for c in counts])]).astype(np.int32))
-            terms = pa.array([t for c in counts for t in c], pa.binary()).cast(pa.string())
-            tfs = pa.array([n for c in counts for n in c.values()], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([c.total() for c in counts], pa.int64()),
-                    pa.ListArray.from_arrays(offsets, terms),
-                    pa.ListArray.from_arrays(offsets, tfs),
-                ],
-                names=["doc_id", "n", "terms", "tfs"],
-            )
+            for rows in stretches(pc.binary_length(batch.column("text")).to_numpy(), _TEXT_BYTES):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                counts = [Counter(terms_of(text)) for text in part.column("text").to_pylist()]
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(c) for c in counts])]).astype(np.int32))
+                terms = pa.array([t for c in counts for t in c], pa.binary()).cast(pa.string())
+                tfs = pa.array([n for c in counts for n in c.values()], pa.int64())
+                sizes = pa.array([c.total() for c in counts], pa.int64())
+                lists = [pa.ListArray.from_arrays(offsets, values) for values in (terms, tfs)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sizes, *lists], names=["doc_id", "n", "terms", "tfs"])
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = narrow.mapInArrow(counted, "doc_id long, n long, terms array<string>, tfs array<long>")
@@ -196,12 +194,12 @@ def _best(query: np.ndarray, score: np.ndarray, known: np.ndarray, doc: np.ndarr
     return order[rank < k]
 
 
-def _scored(blocks: DataFrame, queries: _Queries, k: int) -> DataFrame:
-    """Each task's best ``k`` of every query over the given blocks, rows of which name the queries that visit them
-    (``visitors``) and the scores these have to reach (``least``)."""
+def _scored(blocks: DataFrame, queries: _Queries, k: int, start: np.ndarray) -> DataFrame:
+    """Each task's best ``k`` of every query over the given blocks, whose rows name the queries that visit them
+    (``visitors``); ``start`` holds the score that each query's documents have to reach."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = np.ones(queries.count, dtype=np.int64)
+        least = start.copy()
         found = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64)]
 
         def keep(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
@@ -211,7 +209,7 @@ def _scored(blocks: DataFrame, queries: _Queries, k: int) -> DataFrame:
             full = np.bincount(kept[0], minlength=queries.count) == k
             last = np.zeros(queries.count, dtype=np.int64)
             last[kept[0]] = kept[1]  # ordered by falling score, so the last one stays
-            np.maximum(least, np.where(full, last, 1), out=least)
+            np.maximum(least, np.where(full, last, least), out=least)
             return kept
 
         pending: list[list[np.ndarray]] = []
@@ -220,7 +218,6 @@ def _scored(blocks: DataFrame, queries: _Queries, k: int) -> DataFrame:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i] for name in batch.schema.names}
                 visitors = row["visitors"].values.to_numpy()
-                np.maximum.at(least, visitors, row["least"].values.to_numpy())
                 for part in _block_scores(row, visitors, queries, least):
                     pending.append(part)
                     waiting += len(part[0])
@@ -325,17 +322,18 @@ def _visited(index: Index, terms: DataFrame, queries: _Queries, n_strata: int, k
     bounds = staged(bounds.withColumn("turn", turn), "bounds")
     ranked = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
     best = None
+    least = np.ones(queries.count, dtype=np.int64)
     after, upto = 0, FIRST_VISITS
     while True:
         due = bounds.where(F.col("turn").between(after + 1, upto))
-        if best is None:
-            due = due.withColumn("least", F.lit(1).cast("long"))
-        else:
-            last = best.where(F.col("rank") == k).select("query", F.col("score").alias("least"))
-            due = due.join(last, "query", "left").fillna(1, ["least"]).where("bound >= least")
-        visits = due.groupBy("m").agg(F.collect_list(F.struct("query", "least")).alias("v"))
-        visits = visits.select("m", F.col("v.query").alias("visitors"), F.col("v.least").alias("least"))
-        scored = _scored(index.blocks.join(visits, "m"), queries, k)
+        if best is not None:
+            last = best.where(F.col("rank") == k).select("query", "score")
+            for row in last.collect():  # one number a query
+                least[row.query] = row.score
+            due = due.join(last, "query", "left").where(F.col("score").isNull() | (F.col("bound") >= F.col("score")))
+        # Written, so that its size is known: a row a stratum with the numbers of its visitors.
+        visits = staged(due.groupBy("m").agg(F.collect_list(F.col("query").cast("int")).alias("visitors")), "visits")
+        scored = _scored(index.blocks.join(visits, "m"), queries, k, least.copy())
         if best is not None:
             scored = scored.unionByName(best.drop("rank"))
         best = staged(scored.withColumn("rank", ranked).where(F.col("rank") <= k), "best")
