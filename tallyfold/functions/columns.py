@@ -106,6 +106,12 @@ def surrogate_id(*columns: ColumnOrName) -> Column:
     return F.xxhash64(*parts)
 
 
+def seeded_id(seed: int, *columns: ColumnOrName) -> Column:
+    """:func:`surrogate_id` for seed 0, another id of the same kind for any other."""
+    first = surrogate_id(*columns)
+    return first if seed == 0 else F.xxhash64(F.lit(seed), first, *[F.coalesce(as_column(c).cast("string"), F.lit("")) for c in columns])
+
+
 def number_or_null(name: str) -> Column:
     """The column with NaN as null."""
     return F.when(~F.isnan(F.col(name).cast("double")), F.col(name))

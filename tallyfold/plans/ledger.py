@@ -85,7 +85,7 @@ def load_counts(spark: SparkSession, path: str, counts: DataFrame, batch: str, f
         result = others.unionByName(renewed.withColumn("kind", F.lit("day"))).unionByName(tops, allowMissingColumns=True)
         parts = [table.part(("day", m)) for m in day_months] + [table.part(("end", m)) for m in end_months]
         if parts:
-            table.replace(result, parts, seen, batch)
+            table.replace(result, parts, seen, batch, alone=True)  # what comes before a month lies in others
         return sorted(day_months)
 
 

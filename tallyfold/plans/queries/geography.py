@@ -8,9 +8,10 @@ from tallyfold.fixed_values import HAWAII_LATITUDE, HAWAII_LONGITUDE
 from tallyfold.functions import columns as fx
 from tallyfold.functions import geo
 from tallyfold.operators import joins, latest, locations, nearest, quality, report
+from tallyfold.plans import locations as location_jobs
 from tallyfold.plans.registry import query
 from tallyfold.plans.standins import sites, stations, table, with_sql
-from tallyfold.session import staged
+from tallyfold.session import scratch_path, staged
 
 _ANGLE = """atan2(sqrt({a}), sqrt(1 - {a}))"""
 _TERM = """least(pow(sin((radians({p}.latitude) - radians({q}.latitude)) / 2), 2)
@@ -218,6 +219,28 @@ def c20_surrogate_ids(spark, sf):
     return per_id.agg(F.sum("n").alias("places"), F.count(F.lit(1)).alias("ids"))
 
 
+@query(
+    "c20_stored_ids",
+    "C20",
+    with_sql(
+        "sites",
+        "SELECT state, county, fips, count(*) OVER () AS ids, state < 'NATION_3' AS early FROM locs",
+        _LOCATIONS,
+    ),
+)
+def c20_stored_ids(spark, sf):
+    """Ids from a stored dictionary that some places enter first, and all of them later, twice."""
+    places, path = staged(_resolved(spark, sf).select(*locations.PLACE), "places"), scratch_path(spark, "ids")
+    early = F.col("state") < "NATION_3"
+    location_jobs.add_location_ids(spark, path, places.where(early), "early")
+    first = location_jobs.location_ids(spark, path).read().select("location_id", F.lit(True).alias("early"))
+    for _ in range(2):
+        location_jobs.add_location_ids(spark, path, places, "all")
+    rows = location_jobs.with_stored_id(spark, path, places).join(first, "location_id", "left")
+    ids = rows.select("location_id").distinct().agg(F.count(F.lit(1)).alias("ids"))
+    return joins.attach_total(rows, ids).select(*locations.PLACE, "ids", F.coalesce("early", F.lit(False)).alias("early"))
+
+
 _ENRICHED = """enriched AS (
   SELECT n.location_id, n.measured, n.station_id, n.angle * 6371 AS distance,
          'NATION_' || CAST(location_nation AS VARCHAR) AS location_state,

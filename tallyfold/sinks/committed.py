@@ -90,10 +90,12 @@ class CommittedTable:
     def _folder(self, commit: str, part: str = "") -> str:
         return f"{self.path}/rows/{_COMMIT}={commit}/{part}".rstrip("/")
 
-    def append(self, rows: DataFrame, batch: str) -> int:
+    def append(self, rows: DataFrame, batch: str, seen: Version | None = None) -> int:
         """Add rows as batch ``batch``; a batch that the table holds already changes nothing.
 
-        Appends of several writers follow one another. Returns the version that holds the batch.
+        Appends of several writers follow one another, unless the rows were computed from a version
+        ``seen``: if there is a newer one by then, :class:`LostCommit` is raised. Returns the version
+        that holds the batch.
         """
         now = self.version()
         if batch in now.batches:
@@ -104,15 +106,21 @@ class CommittedTable:
             if batch in now.batches:  # another writer brought it meanwhile
                 drop_path(self.spark, self._folder(commit))
                 return now.number
+            if seen is not None and now.number != seen.number:
+                drop_path(self.spark, self._folder(commit))
+                raise LostCommit(f"{self.path}: version {now.number} came after {seen.number}, from which the rows were computed")
             parts = now.parts | {p: [*now.parts.get(p, []), commit] for p in written}
             if self._publish(now, parts, batch):
                 return now.number + 1
 
-    def replace(self, rows: DataFrame, touched: Iterable[str], seen: Version, batch: str | None = None) -> int:
+    def replace(
+        self, rows: DataFrame, touched: Iterable[str], seen: Version, batch: str | None = None, alone: bool = False
+    ) -> int:
         """Put ``rows`` in place of the partitions ``touched``, which were read from version ``seen``.
 
         Partitions left without rows disappear. If any of them has changed since, :class:`LostCommit`
-        is raised and the table stays as it is; changes of other partitions are kept.
+        is raised and the table stays as it is; changes of other partitions are kept. With ``alone`` any
+        newer version is such a change, for rows that depend on more than the partitions they replace.
         """
         if batch is not None and batch in seen.batches:
             return seen.number
@@ -120,7 +128,8 @@ class CommittedTable:
         replaced = {*touched, *written}
         while True:
             now = self.version()
-            if any(now.parts.get(p) != seen.parts.get(p) for p in replaced) or (batch is not None and batch in now.batches):
+            overtaken = any(now.parts.get(p) != seen.parts.get(p) for p in replaced) or (alone and now.number != seen.number)
+            if overtaken or (batch is not None and batch in now.batches):
                 drop_path(self.spark, self._folder(commit))
                 raise LostCommit(f"{self.path}: version {now.number} changed partitions that were read from {seen.number}")
             parts = {p: c for p, c in now.parts.items() if p not in replaced} | {p: [commit] for p in written}
