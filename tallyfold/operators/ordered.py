@@ -35,24 +35,23 @@ def block_count(df: DataFrame) -> int:
 def with_value_block(df: DataFrame, column: str, blocks: int | None = None) -> DataFrame:
     """Number the rows' blocks (column ``_block``, from 0) so that blocks hold similar row counts.
 
-    The bounds are quantiles of a sample chosen by hash of the whole row, about 16 values per block:
-    at most ``_FAN`` of them in one array. That of the first level is broadcast as one row; where more
-    blocks are wanted, each block of a level gets an array of its own, which its rows meet in a join.
-    The sample only places bounds; every row stays.
+    The bounds are quantiles of a sample chosen by hash of the whole row, about 16 values per block of a
+    level, so at most 16 * ``_FAN`` values meet in one array. The bounds of the first level are broadcast
+    as one row; where more blocks are wanted, each block of a level gets an array of its own, which its
+    rows meet in a join. The sample only places bounds; every row stays.
     """
     blocks = blocks or block_count(df)
-    wanted = 16 * blocks
     hashed = f"xxhash64({', '.join(df.columns)})"
     # Counting the hash keeps the columns the other readers need, so they share one shuffle.
     total = df.agg(F.expr(f"count({hashed}) AS _n"))
-    sampled = f"(double({hashed}) + {2.0**63!r}D) / {2.0**64!r}D * _n < {wanted}"
     level = min(blocks, _FAN)
-    bounds = df.crossJoin(F.broadcast(total)).where(sampled).agg(_collected(column)).selectExpr(_placed(level))
+    bounds = df.crossJoin(F.broadcast(total)).where(_sampled(hashed, 16 * level)).agg(_collected(column)).selectExpr(_placed(level))
     out = _counted(df.crossJoin(F.broadcast(bounds)).selectExpr("*", f"0L AS {_BLOCK}"), df.columns, column, level)
     placed = level
     while placed < blocks:
         level = min(blocks // placed, _FAN)
-        rows = out.crossJoin(F.broadcast(total)).where(sampled)
+        # Each of the placed blocks holds its share of so many values.
+        rows = out.crossJoin(F.broadcast(total)).where(_sampled(hashed, 16 * placed * level))
         bounds = rows.groupBy(_BLOCK).agg(_collected(column)).selectExpr(f"{_BLOCK} AS _above", _placed(level))
         met = out.withColumnRenamed(_BLOCK, "_above").join(bounds, "_above", "left")
         inner = _counted(met.selectExpr("*", f"0L AS {_BLOCK}"), [*df.columns, "_above"], column, level)
@@ -61,6 +60,11 @@ def with_value_block(df: DataFrame, column: str, blocks: int | None = None) -> D
     return out
 
 
+def _sampled(hashed: str, wanted: int) -> str:
+    """About ``wanted`` of the ``_n`` rows, the same on every run."""
+    return f"(double({hashed}) + {2.0**63!r}D) / {2.0**64!r}D * _n < {wanted}"
+
+
 def _collected(column: str) -> Column:
     return F.expr(f"array_sort(collect_list({column})) AS _sample")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,21 +36,20 @@ def daily_increments(
         raise ValueError(f"first must be one of {FIRST_ROW_RULES}")
     if isinstance(block, str):
         block = month_of(date)
-    marker, own = "_seen", "_own"
-    rows = df.withColumn(marker, F.lit(True)).withColumn(own, F.struct(date, *measures))
-    rows = previous_values(rows, keys, date, [*measures, marker, own], block)
+    marker = "_seen"
+    rows = previous_values(df.withColumn(marker, F.lit(True)), keys, date, [*measures, marker, date], block)
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in [*keys, date]])
-    twice = F.col(f"{own}_previous")[date] == F.col(date)
+    twice = F.coalesce(F.col(f"{date}_previous") == F.col(date), F.lit(False))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"{c}_previous")) for c in measures])
     conflict = F.raise_error(F.concat(F.lit("different counts on one day of "), shown)).cast("boolean")
-    kept = F.when(~F.coalesce(twice, F.lit(False)), F.lit(True)).when(F.col(own).eqNullSafe(F.col(f"{own}_previous")), F.lit(False))
-    rows = rows.where(kept.otherwise(conflict)).drop(own, f"{own}_previous")
+    rows = rows.where(F.when(~twice, F.lit(True)).when(same, F.lit(False)).otherwise(conflict))
     for name in measures:
         value, previous = F.col(name), F.col(f"{name}_previous")
         if first == "zero":
             previous = F.when(F.col(f"{marker}_previous").isNull(), F.lit(0)).otherwise(previous)
         step = value - previous
         rows = rows.withColumn(f"daily_{name}", F.coalesce(step, value) if first == "self" else step)
-    return rows.drop(marker, *[f"{c}_previous" for c in [*measures, marker]])
+    return rows.drop(marker, *[f"{c}_previous" for c in [*measures, marker, date]])
 
 
 def territory_series(df: DataFrame, keys: Sequence[str], measures: Sequence[str], date: str = "date") -> DataFrame:

@@ -5,6 +5,9 @@ Inputs are derived from the test tables, written to the shared scratch folder an
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold import schemas
@@ -644,17 +647,39 @@ def a4_json_array(spark, sf):
     return read.select(*columns)
 
 
-@query(
-    "a5_record_page",
-    "A5 L10",
-    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey DESC LIMIT 1000",
-)
+_RECORDS = schemas.columns("o_orderkey bigint, o_custkey bigint, o_totalprice double")
+
+
+@query("a5_record_page", "A5 L10", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def a5_record_page(spark, sf):
-    """The newest page of records, as an interface hands it over in memory, checked for rows."""
-    schema = schemas.columns("o_orderkey bigint, o_custkey bigint, o_totalprice double")
-    page = table(spark, sf, "orders").select(*schema.names).orderBy(F.desc("o_orderkey")).limit(1000)
-    records = [row.asDict() for row in page.collect()]
-    return quality.require_rows(files.rows_frame(spark, records, schema), "empty page")
+    """The records of an interface, landed as JSON lines, read by their schema and checked for rows."""
+    path = scratch_path(spark, "records")
+    sinks.write_json(table(spark, sf, "orders").select(*_RECORDS.names), path)
+    return quality.require_rows(files.read_json_lines(spark, path, _RECORDS), "no records")
+
+
+@query(
+    "l10_empty_batches",
+    "L10 A5",
+    """SELECT status, count(o_orderkey) AS records, count(o_orderkey) > 0 AS loaded
+FROM (VALUES ('F'), ('O'), ('P'), ('none')) s(status) LEFT JOIN orders ON o_orderstatus = status GROUP BY 1""",
+)
+def l10_empty_batches(spark, sf):
+    """Landed batches, of which one is empty: the guard stops it before anything is written."""
+    stored = CommittedTable(spark, scratch_path(spark, "guarded"), _RECORDS)
+    orders, seen = table(spark, sf, "orders"), []
+    for status in ("F", "O", "P", "none"):
+        path = scratch_path(spark, "records")
+        sinks.write_json(orders.where(F.col("o_orderstatus") == status).select(*_RECORDS.names), path)
+        try:
+            records = quality.require_rows(files.read_json_lines(spark, path, _RECORDS), "no records")
+            stored.append(records, status)
+            seen.append(records.agg(F.lit(status).alias("status"), F.count(F.lit(1)).alias("records"), F.lit(True).alias("loaded")))
+        except ValueError:
+            seen.append(spark.range(1).select(F.lit(status).alias("status"), F.lit(0).cast("long").alias("records"), F.lit(False).alias("loaded")))
+    counted = reduce(DataFrame.unionByName, seen)
+    # What was stored agrees with what the guard let through.
+    return counted.where(F.lit(stored.read().count()) == F.lit(orders.count()))
 
 
 @query(

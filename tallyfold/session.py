@@ -58,12 +58,10 @@ _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def _written(df: DataFrame, path: str) -> DataFrame:
     conf = df.sparkSession.conf
-    before = conf.get(_DROP_SHUFFLES, "false")
-    conf.set(_DROP_SHUFFLES, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        conf.set(_DROP_SHUFFLES, before)
+    # Set once and kept: to take it back after each write would undo it for another thread's write.
+    if conf.get(_DROP_SHUFFLES, "false") != "true":
+        conf.set(_DROP_SHUFFLES, "true")
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

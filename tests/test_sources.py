@@ -104,6 +104,13 @@ def test_population_groups_from_json_array_to_fact(spark, tmp_path):
         group_jobs.append_new(spark, fresh, fact)
 
 
+def test_records_in_memory_become_a_typed_frame(spark):
+    schema = schemas.columns("n bigint, s string")
+    frame = files.rows_frame(spark, [{"n": 1, "s": "a"}, {"s": "b", "extra": 0}], schema)
+    assert frame.schema == schema and sorted(map(tuple, frame.collect()), key=str) == [(1, "a"), (None, "b")]
+    assert files.rows_frame(spark, [], schema).collect() == []
+
+
 def test_locations_resolve_in_order(spark):
     reported = spark.createDataFrame(
         [
