@@ -16,7 +16,6 @@ MIN_REPORTED_DAYS = 350
 
 # Distances are EARTH_RADIUS_KM x atan2(sqrt a, sqrt(1 - a)): half the great circle.
 EARTH_RADIUS_KM = 6371
-FAR_DISTANCE = 100
 MAX_DISTANCE = 600
 
 # Only locations ranked before this one are worth resolving by hand.
