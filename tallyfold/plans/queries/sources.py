@@ -433,13 +433,17 @@ _CORRECTED = _DAILY.format(cases="cases - lag(cases, 1, 0) OVER w", deaths="deat
 )
 
 
-def _corrected_ledger(spark, sf):
-    places = nation_locations(spark, sf)
-    known = staged(_known(cumulated(spark, sf), places), "known")
-    day, path = F.col("date"), scratch_path(spark, "ledger")
+def _deliveries(rows):
+    day = F.col("date")
     understated = F.when(F.dayofmonth(day) == 1, F.col("cases") - 1).otherwise(F.col("cases"))
-    early = known.where((day <= F.lit(FIRST_TO).cast("date")) & (F.weekday(day) != 0)).withColumn("cases", understated)
-    late = known.where((day > F.lit(FIRST_TO).cast("date")) | (F.weekday(day) == 0) | (F.dayofmonth(day) == 1))
+    early = rows.where((day <= F.lit(FIRST_TO).cast("date")) & (F.weekday(day) != 0)).withColumn("cases", understated)
+    late = rows.where((day > F.lit(FIRST_TO).cast("date")) | (F.weekday(day) == 0) | (F.dayofmonth(day) == 1))
+    return early, late
+
+
+def _corrected_ledger(spark, sf):
+    places, path = nation_locations(spark, sf), scratch_path(spark, "ledger")
+    early, late = _deliveries(staged(_known(cumulated(spark, sf), places), "known"))
     for number, rows in enumerate((early, late, late)):
         ledger.load_counts(spark, path, rows, f"batch {min(number, 1)}")
     return path, places
@@ -452,6 +456,17 @@ def k12_corrections(spark, sf):
     return ledger.read_days(spark, path).join(places, "location_id").select(*PLACE, iso_day(), "daily_cases", "daily_deaths")
 
 
+@query("stream_corrections", "K12 K7", with_sql("cumulated nation_locations", _CORRECTED, _KNOWN))
+def stream_corrections(spark, sf):
+    """The same deliveries, arriving as files of a stream."""
+    places, path = nation_locations(spark, sf), scratch_path(spark, "ledger")
+    incoming = scratch_path(spark, "incoming")
+    for seq, batch in enumerate(_deliveries(staged(cumulated(spark, sf), "cumulated"))):
+        sinks.write_csv(batch.select(*schemas.CASES_CUMULATED.names), f"{incoming}/seq={seq}")
+    feeds.correction_stream(spark, incoming, places, path, scratch_path(spark, "checkpoint")).awaitTermination()
+    return ledger.read_days(spark, path).join(places, "location_id").select(*PLACE, iso_day(), "daily_cases", "daily_deaths")
+
+
 @query(
     "k12_corrected_snapshot",
     "K12 K1 B7",

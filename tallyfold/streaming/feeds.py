@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyfold import schemas
+from tallyfold.operators.incremental import attach_location_id
+from tallyfold.operators.joins import split_matched
 from tallyfold.plans.cases import next_batch
+from tallyfold.plans.ledger import load_counts
 from tallyfold.plans.weather import apply_deltas_to_path, clean_deltas
 from tallyfold.sinks.files import current_version, mark_version
 from tallyfold.sources.files import DELTA_OPERATIONS
@@ -71,3 +74,19 @@ def case_batch_stream(
 
     files = spark.readStream.schema(CASE_STREAM_SCHEMA).option("header", True).csv(incoming)
     return _run(files, load, checkpoint)
+
+
+def correction_stream(
+    spark: SparkSession, incoming: str, locations: DataFrame, ledger_path: str, checkpoint: str
+) -> StreamingQuery:
+    """Load cumulated counts named ``seq=<n>/*.csv``, with new, inserted and revised days, into the ledger.
+
+    A directory is a batch of the ledger, so one that is replayed after a failure counts once.
+    """
+
+    def load(rows: DataFrame, number: int) -> None:
+        known, _ = split_matched(attach_location_id(rows, locations), "location_id")
+        load_counts(spark, ledger_path, known, f"seq {number}")
+
+    files = spark.readStream.schema(CASE_STREAM_SCHEMA).option("header", True).csv(incoming)
+    return _run(files, load, checkpoint)

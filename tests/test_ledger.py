@@ -7,6 +7,8 @@ import pytest
 
 from tallyfold.plans import ledger
 from tallyfold.session import scratch_path
+from tallyfold.sinks.committed import LostCommit
+from tallyfold.streaming import feeds
 
 D = datetime.date
 COUNTS = "location_id long, date date, cases int, deaths int"
@@ -85,3 +87,47 @@ def test_conflicting_and_undated_rows_fail(spark):
     with pytest.raises(Exception, match="without a date"):
         ledger.load_counts(spark, path, frame(spark, [(1, None, 1, 0)]), "0")
     assert days(spark, path) == [] and ledger.load_counts(spark, path, frame(spark, []), "0") == []
+
+
+def test_a_replayed_directory_counts_once(spark, monkeypatch):
+    """The load is in place when the stream fails, before it can note so."""
+    path, incoming, checkpoint = (scratch_path(spark, n) for n in ("ledger", "incoming", "checkpoint"))
+    places = spark.createDataFrame([("NY", "Kings", "36047", 1)], "state string, county string, fips string, location_id long")
+    columns = "date string, county string, state string, fips string, cases int, deaths int"
+    delivered = [[("2020-01-02", 4), ("2020-01-05", 9)], [("2020-01-03", 6), ("2020-01-05", 10), ("2020-02-01", 12)]]
+    for seq, rows in enumerate(delivered):
+        frame = spark.createDataFrame([(d, "Kings", "NY", "36047", c, 0) for d, c in rows], columns)
+        frame.write.option("header", True).csv(f"{incoming}/seq={seq}")
+    mark, calls = feeds.mark_version, []
+
+    def cut(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("lost")
+        mark(*args)
+
+    monkeypatch.setattr(feeds, "mark_version", cut)
+    with pytest.raises(Exception, match="lost"):
+        feeds.correction_stream(spark, incoming, places, path, checkpoint).awaitTermination()
+    feeds.correction_stream(spark, incoming, places, path, checkpoint).awaitTermination()
+    counts = {(1, D(2020, 1, 2)): (4, 0), (1, D(2020, 1, 3)): (6, 0), (1, D(2020, 1, 5)): (10, 0), (1, D(2020, 2, 1)): (12, 0)}
+    assert days(spark, path) == expected(counts, "zero")
+    assert ledger.ledger(spark, path).version().batches == ("seq 0", "seq 1")
+
+
+def test_of_two_loads_from_one_version_the_second_fails(spark, monkeypatch):
+    path, first, increments = scratch_path(spark, "ledger"), [(1, D(2020, 1, 1), 5, 0)], ledger._increments
+    ledger.load_counts(spark, path, frame(spark, first), "0")
+
+    def overtaken(*args):
+        monkeypatch.setattr(ledger, "_increments", increments)
+        ledger.load_counts(spark, path, frame(spark, [(1, D(2020, 1, 20), 8, 0)]), "1")
+        return increments(*args)
+
+    monkeypatch.setattr(ledger, "_increments", overtaken)
+    late = frame(spark, [(1, D(2020, 2, 1), 9, 0)])
+    with pytest.raises(LostCommit):
+        ledger.load_counts(spark, path, late, "2")
+    ledger.load_counts(spark, path, late, "2")  # run again, it starts from the newer version
+    counts = {(1, D(2020, 1, 1)): (5, 0), (1, D(2020, 1, 20)): (8, 0), (1, D(2020, 2, 1)): (9, 0)}
+    assert days(spark, path) == expected(counts, "zero")
