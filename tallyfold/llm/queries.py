@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bytebpe, chat, decontaminate, extract, hnsw, lexical, linededup, lm, mixing, prefixtrie, quality, simhash, toxicity
+from tallyfold.llm import bytebpe, chat, decontaminate, extract, hnsw, lexical, linelinks, lm, mixing, prefixtrie, quality, simhash, toxicity
 from tallyfold.llm.common import is_held_out, labelled_sample, table
 from tallyfold.session import staged
 
@@ -116,7 +116,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.linked_documents(table(spark, sf_dir, "documents")).drop("text_key")
+    return linelinks.linked_documents(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 _TERMS = _WORDS.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
