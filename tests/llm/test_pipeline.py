@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tallyfold.session import staged
 
-from .samples import LOWER
+from .samples import LOWER, awkward, nothing
 from .test_decontaminate import expected as contaminated
 from .test_linededup import plain_removed
 from .test_simhash import plain_components, plain_fingerprint
@@ -79,7 +79,22 @@ def test_mix_keeps_to_the_documents(results):
 def test_run_and_registration(spark, results):
     assert sorted(n for n in entry.queries() if re.match(r"op\d+_", n)) == sorted(
         "op1_html_extraction op2_mixing op3_simhash_near_dedup op4_benchmark_decontamination op5_lm_scoring "
-        "op6_nearest_neighbours op7_chat_formatting op8_toxicity op9_quality_classifier op10_line_dedup".split()
+        "op6_nearest_neighbours op7_chat_formatting op8_toxicity op9_quality_classifier op10_line_dedup "
+        "op11_lexical_search op12_prefix_trie op13_byte_bpe".split()
     )
     found = entry.queries()["pipeline"](spark, SF)
     assert found.columns == results[5].columns and found.count() == results[5].count()
+
+
+@pytest.mark.parametrize("rows", [awkward, nothing], ids=["awkward", "empty"])
+def test_stages_take_awkward_and_empty_tables(spark, rows):
+    """Nulls, long and repeated texts, ties and clashing names, or no rows: nothing fails, columns stay, nothing is made up."""
+    tables = [rows(spark)]
+    for name, stage in corpus_pipeline.STAGES:
+        tables.append(staged(stage(spark, tables[-1], SF), name))
+    assert all(t.columns == tables[0].columns for t in tables[:-1])
+    counts = [t.count() for t in tables[:-1]]
+    assert counts == sorted(counts, reverse=True)
+    texts = [{r.text for r in t.collect()} for t in tables]
+    assert texts[1] <= texts[0] and texts[3] <= texts[2] and texts[4] <= texts[3] and texts[5] <= texts[4]
+    assert (counts[0] == 0) == (rows is nothing) and (rows is awkward or tables[-1].count() == 0)

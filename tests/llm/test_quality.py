@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import quality
 from tallyfold.llm.common import is_held_out, labelled_sample
+from tallyfold.llm.queries import QUERIES
 
 from .samples import SCHEMA, awkward, nothing
 
@@ -33,6 +34,31 @@ def test_held_out_texts_are_told_apart(spark):
     assert len(scored) == len(rows)
 
 
+def test_both_kinds_are_found_in_the_given_tables(spark):
+    sf = "/root/testdata/sf0.1"
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    scored = QUERIES["op9_quality_classifier"](spark, sf).where("held_out").collect()
+    found = [(truth[r.doc_id], r.predicted) for r in scored if truth.get(r.doc_id) is not None]
+    for kind in (0, 1):
+        right = [p == kind for t, p in found if t == kind]
+        assert len(right) > 100 and sum(right) / len(right) >= 0.93, (kind, sum(right), len(right))
+
+
+def test_repeated_words_do_not_pass(spark):
+    rows, labels = corpus(400)
+    rng = random.Random(1)
+    for i in range(400, 460):
+        word = rng.choice(["the", "house", "river", "evening"])
+        rows.append((i, " ".join([word] * rng.randint(100, 400)), *rows[0][2:]))
+        labels.append((i, 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    sample = labelled_sample(docs, marks, "doc_id", "text", "quality", ~is_held_out("key", 3, 1), 20_000)
+    held = quality.quality_scores(docs, sample).where(is_held_out("doc_id", 3, 1)).collect()
+    right = [(r.score >= 0.5) == bool(dict(labels)[r.doc_id]) for r in held if r.doc_id >= 400]
+    assert len(right) > 10 and sum(right) / len(right) >= 0.95
+
+
 def test_awkward_and_empty_tables(spark):
     rows, labels = corpus(100)
     docs = spark.createDataFrame(rows, SCHEMA)
