@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea iframe xmp noembed noframes title svg math canvas object".split())
+RAW = set("script style noscript template textarea iframe xmp noembed noframes title canvas annotation annotation-xml metadata desc".split())
 BLOCKS = set(
     "html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th "
     "blockquote pre figure figcaption address details summary header footer nav aside form fieldset center hgroup".split()

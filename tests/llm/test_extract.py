@@ -44,6 +44,8 @@ def test_article_without_the_rest():
         ("<p>" + "long " * 50_000, ("long " * 50_000).strip()),
         ("<div class='page sidebar-left'><nav>n</nav><main><p>inside</p></main></div>", "inside"),
         ("<article><h1>Only a title</h1></article><div class='ad'>" + "advert " * 50 + "</div>", "Only a title"),
+        ('<p>Let <math><mi>x</mi><annotation encoding="tex">\\x</annotation></math> be', "Let x be"),
+        ("<p>a <svg><title>t</title><style>.b{}</style><text>drawn</text></svg> <object data='f'>instead</object> z", "a drawn instead z"),
         ("<p>İstanbul<script>x</SCRIPT>y</p>", "İstanbuly"),
     ],
 )
