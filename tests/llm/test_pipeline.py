@@ -96,5 +96,7 @@ def test_stages_take_awkward_and_empty_tables(spark, rows):
     counts = [t.count() for t in tables[:-1]]
     assert counts == sorted(counts, reverse=True)
     texts = [{r.text for r in t.collect()} for t in tables]
-    assert texts[1] <= texts[0] and texts[3] <= texts[2] and texts[4] <= texts[3] and texts[5] <= texts[4]
+    assert texts[1] <= texts[0] and texts[3] <= texts[2] and texts[4] <= texts[3]
+    # The mix may take a part of a document, from its beginning.
+    assert all(any((whole or "").startswith(part or "") for whole in texts[4]) for part in texts[5])
     assert (counts[0] == 0) == (rows is nothing) and (rows is awkward or tables[-1].count() == 0)
