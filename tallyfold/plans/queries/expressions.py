@@ -69,7 +69,7 @@ def c10_compound_filter(spark, sf):
 def c15_conditional_patch(spark, sf):
     """Listed coordinates replace the row's own."""
     listed = spark.createDataFrame([("BUILDING", 40.71274), ("FURNITURE", 37.0842)], "county string, patched double")
-    rows = joins.join_on(table(spark, sf, "customer"), listed, [("c_mktsegment", "county")], "left")
+    rows = joins.join_on(table(spark, sf, "customer"), F.broadcast(listed), [("c_mktsegment", "county")], "left")
     return rows.select("c_custkey", F.coalesce("patched", "c_acctbal").alias("latitude"))
 
 
@@ -206,7 +206,7 @@ ON o_custkey % 9 * 10 = id GROUP BY 1""",
 def a13_literal_dimension(spark, sf):
     ages = spark.createDataFrame(AGE_GROUPS, schemas.AGE_DIMENSION)
     rows = table(spark, sf, "orders").select((F.col("o_custkey") % 9 * 10).cast("int").alias("age_group_id"))
-    return joins.join_on(rows, ages, ["age_group_id"]).groupBy("age_group").agg(F.count(F.lit(1)).alias("orders"))
+    return joins.join_on(rows, F.broadcast(ages), ["age_group_id"]).groupBy("age_group").agg(F.count(F.lit(1)).alias("orders"))
 
 
 @query(
