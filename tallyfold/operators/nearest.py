@@ -3,9 +3,11 @@
 Points are unit vectors, so order by chord is order by angle and neither the antimeridian nor the
 poles need care. Station coordinates are summed up as boxes on nested cubes; a cube is cut further
 only while it holds more than a few coordinates, so dense places get small cubes and empty ones none.
-Each location starts from the boxes around it at the coarsest level and goes down: a box stays only
-while it may hold something closer than the best box surely does. Dense clusters of stations, far or
-near, are thus never compared station by station, and the answer equals that of all pairs.
+Locations close to one another go down together, as a cell on the same cubes: a cell starts from the
+boxes around it at the coarsest level, and a box stays only while it may hold something closer to one
+of its locations than the best box surely does to all. Boxes are not cut smaller than the cell; from
+there each location goes on alone, with what its cell has left. Dense clusters of stations, far or near,
+are thus never compared station by station, and the answer equals that of all pairs.
 """
 
 from __future__ import annotations
@@ -23,10 +25,11 @@ from tallyfold.session import staged
 
 _AXES = ("x", "y", "z")
 _FAN = 4  # edge ratio of two levels: a power of two, so that cubes nest exactly
-_SLACK = 1e-12  # on squared chords, above rounding and above the tie tolerance
+_SLACK = 1e-11  # on squared chords, above rounding and above the tie tolerance
 _EXACT_BITS = 52  # a cube number up to this size is exact in a double
 TIE_DIGITS = 12  # half angles equal to this many digits are ties
 LEAF = 16  # coordinates that a cube may hold without being cut
+CELL = 32  # locations that go down together
 
 # The expressions below are SQL text: one call each, where columns would take dozens.
 
@@ -39,7 +42,8 @@ def _vectors(df: DataFrame, edge: float) -> DataFrame:
         "cos(radians(latitude)) * sin(radians(longitude)) AS y",
         "sin(radians(latitude)) AS z",
     )
-    return vector.selectExpr("*", *[f"{a} / {edge!r}D AS q{a}" for a in _AXES])
+    finite = vector.where("NOT isnan(x + y + z)")  # no station is near an infinite coordinate
+    return finite.selectExpr("*", *[f"{a} / {edge!r}D AS q{a}" for a in _AXES])
 
 
 def _cube(level: str) -> str:
@@ -67,24 +71,44 @@ def _deepest(coordinates: DataFrame, most: int) -> int:
     return 0 if full is None else min(full + 1, most)
 
 
-_NEAR = " + ".join(f"pow(greatest(min_{a} - {a}, {a} - max_{a}, 0D), 2)" for a in _AXES)
-_FAR = " + ".join(f"pow(greatest(abs({a} - min_{a}), abs({a} - max_{a})), 2)" for a in _AXES)
+def _in_use(boxes: DataFrame) -> DataFrame:
+    """Boxes of the coarsest level and those inside a cube that is cut."""
+    cut = boxes.where(F.col("n") > LEAF).selectExpr("measured", "level + 1 AS level", "cube AS parent")
+    return boxes.where("level = 0").unionByName(boxes.where("level > 0").join(cut, ["measured", "level", "parent"], "left_semi"))
 
 
-def _descended(candidates: DataFrame, boxes: DataFrame, level: int) -> DataFrame:
-    """Boxes of many coordinates replaced by those inside them; the others wait.
+def _in_cells(points: DataFrame, deepest: int) -> DataFrame:
+    """Each point with its cell: the first of its cubes that holds at most ``CELL`` points, else the deepest."""
+    nested = points.selectExpr("*", f"explode(sequence(0, {deepest})) AS level").selectExpr(
+        "latitude", "longitude", "level", f"{_cube('level')} AS cube"
+    )
+    full = nested.groupBy("level", "cube").count().where(F.col("count") > CELL).drop("count")
+    below = nested.join(full, ["level", "cube"], "left_semi").groupBy("latitude", "longitude").agg(F.max("level").alias("above"))
+    found = points.join(below, ["latitude", "longitude"], "left").selectExpr("*", f"least(coalesce(above + 1, 0), {deepest}) AS cell_level")
+    return found.selectExpr("latitude", "longitude", *_AXES, "cell_level", f"{_cube('cell_level')} AS cell", f"{_cube('0')} AS c")
+
+
+_BOUNDS = [f"{side}_{a}" for a in _AXES for side in ("min", "max")]  # of stations
+_EXTENT = [f"{side}_{a}" for a in _AXES for side in ("lo", "hi")]  # of the locations that go down together
+_NEAR = " + ".join(f"pow(greatest(min_{a} - hi_{a}, lo_{a} - max_{a}, 0D), 2)" for a in _AXES)
+_FAR = " + ".join(f"pow(greatest(hi_{a} - min_{a}, max_{a} - lo_{a}), 2)" for a in _AXES)
+_CELL = ["cell_level", "cell"]
+_POINT = ["latitude", "longitude", *_CELL]  # sorting compares numbers first
+
+
+def _descended(candidates: DataFrame, boxes: DataFrame, level: int, keys: list[str], cut: str) -> DataFrame:
+    """Boxes of many coordinates replaced by those inside them, where ``cut`` holds; the others wait.
 
     Those that wait still rule out others and may be ruled out. One join serves both: a waiting box
     asks for a level that no box has, and its cube keeps it apart from others like it.
     """
     inside = boxes.where(F.col("level") == level).selectExpr(
-        "measured", "level AS asked", "parent AS cube", "cube AS inner_cube", "n AS inner_n", *[f"{m}_{a}" for a in _AXES for m in ("min", "max")]
+        "measured", "level AS asked", "parent AS cube", "cube AS inner_cube", "n AS inner_n", *_BOUNDS
     )
-    asking = candidates.selectExpr("*", f"IF(level = {level - 1} AND n > {LEAF}, {level}, -1) AS asked")
+    asking = candidates.selectExpr("*", f"IF(level = {level - 1} AND n > {LEAF} AND {cut}, {level}, -1) AS asked")
     return asking.join(inside, ["measured", "asked", "cube"], "left").selectExpr(
-        "latitude",
-        "longitude",
-        *_AXES,
+        *keys,
+        *_EXTENT,
         "measured",
         "IF(inner_n IS NULL, level, asked) AS level",
         "coalesce(inner_cube, cube) AS cube",
@@ -94,16 +118,27 @@ def _descended(candidates: DataFrame, boxes: DataFrame, level: int) -> DataFrame
     )
 
 
-def _keep_promising(candidates: DataFrame, limit: float) -> DataFrame:
+def _keep_promising(candidates: DataFrame, limit: float, keys: list[str]) -> DataFrame:
     """Drop boxes that cannot hold the nearest coordinate."""
     return (
         candidates.where(f"near <= {limit!r}D")
-        .selectExpr("*", "min(far) OVER (PARTITION BY latitude, longitude, measured) AS best")
+        .selectExpr("*", f"min(far) OVER (PARTITION BY lo_x, {', '.join(keys)}, measured) AS best")
         .where(f"near <= best + {_SLACK!r}D")
         .drop("best")
     )
 
 
+def _nearest_pairs(pairs: DataFrame) -> DataFrame:
+    """Pairs of the least half angle: by chord first, which is cheap and leaves few."""
+    keys = f"lo_x, {', '.join(_POINT)}, measured"
+    chord = " + ".join(f"pow(lo_{a} - station_{a}, 2)" for a in _AXES)
+    close = pairs.selectExpr("*", f"{chord} AS chord").selectExpr("*", f"min(chord) OVER (PARTITION BY {keys}) AS best")
+    angle = half_angle("latitude", "longitude", "station_latitude", "station_longitude")
+    ranked = close.where(f"chord <= best + {_SLACK!r}D").withColumn("angle", angle)
+    ranked = ranked.selectExpr("*", f"round(angle, {TIE_DIGITS}) AS rounded")
+    return ranked.selectExpr("*", f"min(rounded) OVER (PARTITION BY {keys}) AS least").where("rounded = least")
+
+
 def nearest_per_element(
     locations: DataFrame,
     stations: DataFrame,
@@ -118,7 +153,8 @@ def nearest_per_element(
     station closer than ``cutoff`` are left out. Stations at equal distance are all kept, or the
     smallest id alone. Each level divides a cube's edge by four, starting from the cut-off; the number
     of levels follows from the stations unless ``depth`` sets it. The boxes of all levels are summed up
-    in one pass, which runs when this is called, and staged in the shared folder.
+    in one pass and the cells go down to their boxes; both run when this is called, and what they find
+    is staged in the shared folder.
     """
     reach = cutoff is not None and cutoff / EARTH_RADIUS_KM < math.pi / 2
     chord = 2 * math.sin(cutoff / EARTH_RADIUS_KM) if reach else 2.0
@@ -133,38 +169,46 @@ def nearest_per_element(
     most = max(0, int((_EXACT_BITS - math.log2(1 / edge)) / math.log2(_FAN)))
     deepest = _deepest(coordinates, most) if depth is None else min(depth - 1, most)
     nested = _nested(coordinates, deepest)
-    boxes = staged(_boxes(nested), "station-boxes")
+    boxes = staged(_in_use(staged(_boxes(nested), "station-cubes")), "station-boxes")
+    points = staged(_in_cells(points, deepest), "location-points")
 
     steps = (-1, 0, 1)
     shifts = [(dx, dy, dz) for dx in steps for dy in steps for dz in steps]
     around = ", ".join(f"named_struct('x', c.x + {dx}, 'y', c.y + {dy}, 'z', c.z + {dz})" for dx, dy, dz in shifts)
-    starts = points.selectExpr("latitude", "longitude", *_AXES, f"{_cube('0')} AS c").selectExpr(
-        "latitude", "longitude", *_AXES, f"explode(array({around})) AS cube"
-    )
+    extent = [F.expr(f"{side}({a}) AS {name}_{a}") for a in _AXES for side, name in (("min", "lo"), ("max", "hi"))]
+    cells = points.groupBy(*_CELL, "c").agg(*extent)
+    starts = cells.selectExpr(*_CELL, *_EXTENT, f"explode(array({around})) AS cube")
     first = starts.join(boxes.where("level = 0"), "cube").selectExpr(
-        "latitude", "longitude", *_AXES, "measured", "level", "cube", "n", f"{_NEAR} AS near", f"{_FAR} AS far"
+        *_CELL, *_EXTENT, "measured", "level", "cube", "n", f"{_NEAR} AS near", f"{_FAR} AS far"
     )
-    candidates = _keep_promising(first, limit)
+    candidates = _keep_promising(first, limit, _CELL)
     for level in range(1, deepest + 1):
-        candidates = _keep_promising(_descended(candidates, boxes, level), limit)
+        candidates = _keep_promising(_descended(candidates, boxes, level, _CELL, f"cell_level >= {level}"), limit, _CELL)
+    left = staged(candidates.select(*_CELL, "measured", "level", "cube", "n"), "cell-boxes")
+    uncut = left.where(F.col("n") > LEAF).agg(F.min("level")).first()[0]
+
+    bounds = boxes.select("measured", "level", "cube", *_BOUNDS)
+    alone = points.selectExpr(*_POINT, *[f"{a} AS {side}_{a}" for a in _AXES for side in ("lo", "hi")])
+    each = alone.join(left.join(bounds, ["measured", "level", "cube"]), _CELL).selectExpr(
+        *_POINT, *_EXTENT, "measured", "level", "cube", "n", f"{_NEAR} AS near", f"{_FAR} AS far"
+    )
+    candidates = _keep_promising(each, limit, _POINT)
+    for level in range(deepest + 1 if uncut is None else uncut + 1, deepest + 1):
+        candidates = _keep_promising(_descended(candidates, boxes, level, _POINT, "true"), limit, _POINT)
 
-    leaves = nested.select(
+    whole = boxes.where((F.col("n") <= LEAF) | (F.col("level") == deepest)).select("measured", "level", "cube")
+    leaves = staged(nested.join(whole, ["measured", "level", "cube"], "left_semi"), "station-leaves").select(
         "measured",
         F.col("latitude").alias("station_latitude"),
         F.col("longitude").alias("station_longitude"),
+        *[F.col(a).alias(f"station_{a}") for a in _AXES],
         "level",
         "cube",
     )
-    angle = half_angle("latitude", "longitude", "station_latitude", "station_longitude")
-    wanted = candidates.select("latitude", "longitude", "measured", "level", "cube")
-    pairs = wanted.join(leaves, ["measured", "level", "cube"]).withColumn("angle", angle)
+    closest = _nearest_pairs(candidates.drop("n", "near", "far").join(leaves, ["measured", "level", "cube"]))
     if cutoff is not None:
-        pairs = pairs.where(distance_in_cutoff_unit("angle") < cutoff)
-    closest = leading_rows(
-        pairs.withColumn("_order", F.round("angle", TIE_DIGITS)),
-        ["latitude", "longitude", "measured"],
-        [F.asc("_order")],
-    ).drop("_order", "cube", "level")
+        closest = closest.where(distance_in_cutoff_unit("angle") < cutoff)
+    closest = closest.select("latitude", "longitude", "measured", "station_latitude", "station_longitude", "angle")
 
     named = placed.select(
         "measured",

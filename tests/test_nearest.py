@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from tallyfold.operators import nearest
 from tallyfold.operators.nearest import TIE_DIGITS, clear_state_pairs, nearest_per_element
 
 RADIUS = 6371
@@ -88,6 +89,39 @@ def test_far_cluster_is_not_compared_station_by_station(spark):
     assert search(spark, locations, stations, depth=5) == all_pairs(locations, stations, 600)
 
 
+def test_close_locations_go_down_together(spark, monkeypatch):
+    """Boxes are looked through once per cell of locations, not once per location."""
+    g = random.Random(7)
+    stations = [(f"S{i:04d}", "T", g.uniform(-60, 60), g.uniform(-180, 180)) for i in range(300)]
+    locations = [(i, 40 + g.uniform(0, 0.2), -74 + g.uniform(0, 0.2)) for i in range(1000)]
+    kept = {}
+
+    def staged(df, name):
+        kept[name] = nearest_staged(df, name)
+        return kept[name]
+
+    nearest_staged = nearest.staged
+    monkeypatch.setattr(nearest, "staged", staged)
+    assert search(spark, locations, stations, cutoff=None) == all_pairs(locations, stations, None)
+    assert kept["cell-boxes"].select("cell_level", "cell").distinct().count() <= 100
+    assert kept["cell-boxes"].count() <= 1500
+
+
+@pytest.mark.parametrize("cell, leaf, cutoff", [(3, 2, None), (1, 16, 600), (200, 1, 600), (200, 3, None)])
+def test_cells_and_boxes_of_any_size(spark, monkeypatch, cell, leaf, cutoff):
+    monkeypatch.setattr(nearest, "CELL", cell)
+    monkeypatch.setattr(nearest, "LEAF", leaf)
+    locations, stations = scattered(cell + leaf, 120, 150)
+    locations += [(1000 + i, 40.0, -74.0) for i in range(3)]
+    assert search(spark, locations, stations, cutoff=cutoff) == all_pairs(locations, stations, cutoff)
+
+
+def test_infinite_coordinates_spoil_no_neighbours(spark):
+    locations = [(1, 10.0, 20.0), (2, 10.1, 20.0), (3, math.inf, 20.0)]
+    stations = [("a", "T", 10.0, 20.5), ("b", "T", 10.0, 20.6), ("c", "T", 10.0, -math.inf)]
+    assert search(spark, locations, stations) == {(1, "T", "a"), (2, "T", "a")}
+
+
 def test_cleared_pairs_are_scoped_by_element(spark):
     mapping = spark.createDataFrame(
         [("SNOW", "PR", "FL", "s1"), ("PRCP", "PR", "FL", "s2"), ("SNOW", "PR", None, "s3")],
