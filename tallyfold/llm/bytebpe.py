@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import duckdb
 import numpy as np
@@ -29,9 +29,10 @@ from tallyfold.llm.common import packed, stretches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECE_CHARS = 1_000_000  # a longer text is cut between words
-GROUP_CHARS = 2_000_000  # texts that are encoded together
-GROUP_IDS = 1_000_000  # ids that are decoded together
+GROUP_CHARS = 1_000_000  # texts that are encoded together
+GROUP_IDS = 500_000  # ids that are decoded together
 KNOWN = 500_000  # words, or runs of ids, that a worker remembers before it starts anew
+ASKED_BYTES = 250_000  # of new words, or runs of ids, that one query of the database takes
 SHORT_WORD = 128  # bytes; longer words contract all repeats of a pair at once where that is the same
 
 # FIXED VALUES: the letters, numbers and white space below U+0100.
@@ -93,7 +94,7 @@ _REPEATS = _RECURSION.format(
 )
 _DECODE = """
 SELECT unhex(string_agg(hex, '' ORDER BY pos)) AS bytes, count(hex) AS known
-FROM run_rows LEFT JOIN pieces USING (tok) GROUP BY run ORDER BY run
+FROM run_rows LEFT JOIN {pieces} USING (tok) GROUP BY run ORDER BY run
 """
 
 
@@ -107,13 +108,16 @@ class Splitter:
         )
         self._wide = regex.compile(public_tokenizers.PATTERN)
         # The two regular expression engines know different editions of Unicode.
-        every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
         pattern, differing = public_tokenizers.PATTERN, set()
         for name in (r"\p{L}", r"\p{N}"):
-            theirs, ours = set(_matched(name, every)), set(regex.findall(name, every))
-            differing |= theirs ^ ours
-            removed = _ranges(ours - theirs)
-            pattern = pattern.replace(name, f"[{name}{_ranges(theirs - ours)}{f'--[{removed}]' if removed else ''}]")
+            more, less = set(), set()
+            for first in range(0, 0x110000, 0x4000):  # a few characters at a time, to hold little
+                some = "".join(chr(c) for c in range(first, first + 0x4000) if not 0xD800 <= c < 0xE000)
+                theirs, ours = set(_matched(name, some)), set(regex.findall(name, some))
+                more |= theirs - ours
+                less |= ours - theirs
+            differing |= more | less
+            pattern = pattern.replace(name, f"[{name}{_ranges(more)}{f'--[{_ranges(less)}]' if less else ''}]")
         self._exact = regex.compile(pattern, flags=regex.V1)
         self._differing = regex.compile(f"[{_ranges(differing)}]") if differing else None
 
@@ -171,7 +175,9 @@ class _Known:
         new = keys.filter(found.is_null()).dictionary_encode()
         if len(new):
             at[found.is_null().to_numpy(zero_copy_only=False)] = len(self._keys) + new.indices.to_numpy()
-            sizes, values = make(new.dictionary)
+            slices = stretches(pc.binary_length(new.dictionary).to_numpy().astype(np.int64), ASKED_BYTES)
+            made = [make(new.dictionary.slice(part.start, part.stop - part.start)) for part in slices]
+            sizes, values = (np.concatenate(parts) for parts in zip(*made))
             self._keys = pa.concat_arrays([self._keys, new.dictionary])
             self._sizes = np.concatenate([self._sizes, sizes])
             self._values = np.concatenate([self._values, values])
@@ -182,33 +188,50 @@ class _Known:
 
 
 class Codec:
-    """The merge table and the vocabulary in a DuckDB database of this worker's memory."""
+    """The merge table and the vocabulary in a DuckDB database of this worker's memory, each when it is first needed."""
 
     def __init__(self, path: str) -> None:
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
-        merges = [
-            (ranks[token[:i]], ranks[token[i:]], rank)
-            for token, rank in ranks.items()
-            for i in range(1, len(token))
-            if token[:i] in ranks and token[i:] in ranks
-        ]
-        left, right, made = np.array(merges, dtype=np.int64).reshape(-1, 3).T
+        self._path = path
+        ranks = self._ranks()
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         self.tokens = pa.array(list(ranks), pa.binary())
         self.token_ids = np.array(list(ranks.values()), dtype=np.int32)
         self.opens = np.zeros(max(ranks.values()) + 1, dtype=bool)
         self.opens[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
-        self.splitter = Splitter()
         self._words = _Known(np.int32)
         self._runs = _Known(np.uint8)
         self._db = duckdb.connect(config={"threads": 1})
-        merge_rows = pa.table({"pair": left * (1 << 32) + right, "made": made})
-        piece_rows = pa.table({"tok": self.token_ids, "hex": [token.hex() for token in ranks]})
-        for name, rows in (("merges", merge_rows), ("pieces", piece_rows)):
-            self._db.register("given", rows)
-            self._db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-            self._db.unregister("given")
+
+    def _ranks(self) -> dict[bytes, int]:
+        with open(self._path, "rb") as lines:
+            return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
+
+    @cached_property
+    def splitter(self) -> Splitter:
+        return Splitter()
+
+    @cached_property
+    def _merges(self) -> str:
+        ranks = self._ranks()
+        merges = (
+            part
+            for token, rank in ranks.items()
+            for i in range(1, len(token))
+            if token[:i] in ranks and token[i:] in ranks
+            for part in (ranks[token[:i]], ranks[token[i:]], rank)
+        )
+        left, right, made = np.fromiter(merges, dtype=np.int64).reshape(-1, 3).T
+        return self._stored("merges", pa.table({"pair": left * (1 << 32) + right, "made": np.ascontiguousarray(made)}))
+
+    @cached_property
+    def _pieces(self) -> str:
+        return self._stored("pieces", pa.table({"tok": self.token_ids, "hex": [token.as_py().hex() for token in self.tokens]}))
+
+    def _stored(self, name: str, rows: pa.Table) -> str:
+        self._db.register("given", rows)
+        self._db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+        self._db.unregister("given")
+        return name
 
     def _ask(self, query: str, **tables: pa.Table) -> pa.Table:
         for name, rows in tables.items():
@@ -226,7 +249,7 @@ class Codec:
         starts = np.array(self.tokens.buffers()[1]).view(np.int32)[: len(self.tokens)]
         within = np.logical_and.reduceat(present[np.frombuffer(self.tokens.buffers()[2], dtype=np.uint8)], starts)
         usable = pa.table({"made": self.token_ids[within].astype(np.int64)})
-        return self._ask("SELECT * FROM merges SEMI JOIN usable USING (made)", usable=usable)
+        return self._ask(f"SELECT * FROM {self._merges} SEMI JOIN usable USING (made)", usable=usable)
 
     def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Token counts of distinct words, and their tokens one word after the other."""
@@ -248,7 +271,7 @@ class Codec:
         done = [(np.flatnonzero(whole), self.token_ids[found.drop_null().to_numpy()])]
         short = sizes <= SHORT_WORD
         for chosen, query in ((short & ~whole, _LEFTMOST), (~short & ~whole, _REPEATS)):
-            if chosen.any():
+            if chosen.any() and self._merges:
                 rows = chosen[word]
                 tables = {"start_rows": pa.table({k: v[rows] for k, v in columns.items()})}
                 if query is _REPEATS:
@@ -293,7 +316,7 @@ class Codec:
             "pos": np.arange(sizes.sum()),
             "tok": np.frombuffer(b"".join(runs.to_pylist()), dtype=np.int32),
         }
-        made = self._ask(_DECODE, run_rows=pa.table(rows))
+        made = self._ask(_DECODE.format(pieces=self._pieces), run_rows=pa.table(rows))
         if (made["known"].to_numpy() != sizes).any():
             raise ValueError("an id is not in the vocabulary")
         data = np.frombuffer(b"".join(made["bytes"].to_pylist()), dtype=np.uint8)

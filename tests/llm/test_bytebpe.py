@@ -79,3 +79,23 @@ def test_no_rows_null_and_unknown_ids(spark):
     assert [r.bytes for r in bytebpe.decode(frame).sort("row.n").collect()][:2] == [None, b""]
     with pytest.raises(ValueError):
         bytebpe.codec(PATH).decode(np.array([10**6]), np.array([1]))
+
+
+def test_a_worker_holds_only_what_it_uses(library, monkeypatch):
+    """The database takes few new words or runs at a time; decoding builds neither merges nor the splitter."""
+    monkeypatch.setattr(bytebpe, "ASKED_BYTES", 60)
+    codec, taken = bytebpe.Codec(PATH), []
+
+    def ask(query, **tables):
+        taken.append(max(rows.num_rows for name, rows in tables.items() if name != "near_merges"))
+        return type(codec)._ask(codec, query, **tables)
+
+    monkeypatch.setattr(codec, "_ask", ask)
+    rng = random.Random(6)
+    given = [" ".join("".join(rng.choice("abcdxyz") for _ in range(9)) for _ in range(30)) for _ in range(4)]
+    ids = [library.encode_ordinary(t) for t in given]
+    assert codec.decode(np.concatenate(ids), np.array([len(i) for i in ids])) == [t.encode() for t in given]
+    assert "splitter" not in vars(codec) and "_merges" not in vars(codec)
+    counts, found = codec.encode(given)
+    assert [p.tolist() for p in np.split(found, np.cumsum(counts)[:-1])] == ids
+    assert len(taken) > 20 and max(taken) <= 60
