@@ -119,12 +119,11 @@ def _descended(candidates: DataFrame, boxes: DataFrame, level: int, keys: list[s
 
 
 def _keep_promising(candidates: DataFrame, limit: float, keys: list[str]) -> DataFrame:
-    """Drop boxes that cannot hold the nearest coordinate."""
+    """Drop boxes that cannot hold the nearest coordinate; ``best`` is a chord that the nearest does not exceed."""
     return (
         candidates.where(f"near <= {limit!r}D")
         .selectExpr("*", f"min(far) OVER (PARTITION BY lo_x, {', '.join(keys)}, measured) AS best")
         .where(f"near <= best + {_SLACK!r}D")
-        .drop("best")
     )
 
 
@@ -132,7 +131,8 @@ def _nearest_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs of the least half angle: by chord first, which is cheap and leaves few."""
     keys = f"lo_x, {', '.join(_POINT)}, measured"
     chord = " + ".join(f"pow(lo_{a} - station_{a}, 2)" for a in _AXES)
-    close = pairs.selectExpr("*", f"{chord} AS chord").selectExpr("*", f"min(chord) OVER (PARTITION BY {keys}) AS best")
+    close = pairs.selectExpr("*", f"{chord} AS chord").where(f"chord <= best + {_SLACK!r}D").drop("best")
+    close = close.selectExpr("*", f"min(chord) OVER (PARTITION BY {keys}) AS best")
     angle = half_angle("latitude", "longitude", "station_latitude", "station_longitude")
     ranked = close.where(f"chord <= best + {_SLACK!r}D").withColumn("angle", angle)
     ranked = ranked.selectExpr("*", f"round(angle, {TIE_DIGITS}) AS rounded")
